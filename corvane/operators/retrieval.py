@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import scalars as sc
 from corvane.functions import text as tx
-from corvane.operators import filters, ordering, terms
+from corvane.operators import filters, ordering
+from corvane.session import cut_lineage
 
 # Saturation and length terms of the text score, and the shares of the score features.
 K1, B = 1.2, 0.75
@@ -53,12 +54,27 @@ def field_statistics(chunks: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     return chunks.agg(*aggregates)
 
 
+@dataclass(frozen=True)
+class TextIndex:
+    """Postings of a query vocabulary with their document frequencies and the field statistics (one row)."""
+
+    postings: DataFrame
+    doc_freq: DataFrame
+    statistics: DataFrame
+    fields: tuple[str, ...]
+
+
+def text_index(chunks: DataFrame, fields: Mapping[str, str], vocabulary: DataFrame) -> TextIndex:
+    """Index of the chunks for the terms in ``vocabulary(term)``; shared by every match that uses it."""
+    known = cut_lineage(postings(chunks, fields).join(vocabulary.select("term").distinct(), "term", "left_semi"))
+    doc_freq = known.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), *[F.count(F.when(F.col(f"tf_{f}") > 0, 1)).alias(f"df_{f}") for f in fields]
+    )
+    return TextIndex(known, doc_freq, field_statistics(chunks, fields), tuple(fields))
+
+
 def text_match(
-    query_terms: DataFrame,
-    chunks: DataFrame,
-    fields: Mapping[str, str],
-    boosts: Mapping[str, float],
-    min_match: float = 0.3,
+    query_terms: DataFrame, index: TextIndex, boosts: Mapping[str, float], min_match: float = 0.3
 ) -> DataFrame:
     """Best-field weighted text score ``(query_id, chunk_id, score, matched)`` of the chunks that match enough terms.
 
@@ -67,36 +83,31 @@ def text_match(
     and the frequent terms are looked up for candidates alone. Nothing is dropped: the result is exact while the
     postings of the most frequent terms never meet all queries.
     """
-    index = postings(chunks, fields)
-    known = index.join(query_terms.select("term").distinct(), "term", "left_semi")
-    doc_freq = known.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), *[F.count(F.when(F.col(f"tf_{f}") > 0, 1)).alias(f"df_{f}") for f in fields]
-    )
+    known, fields = index.postings, index.fields
     impact = {}
     for f in fields:
         n, df, tf, length = F.col(f"n_{f}"), F.col(f"df_{f}"), F.col(f"tf_{f}"), F.col(f"len_{f}")
         idf = F.ln(1 + (n - df + 0.5) / (df + 0.5))
         norm = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / F.col(f"avg_{f}")))
-        impact[f"s_{f}"] = F.when(tf > 0, F.lit(float(boosts[f])) * idf * norm).otherwise(0.0)
-    sizes = query_terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+        impact[f] = F.when(tf > 0, F.lit(float(boosts[f])) * idf * norm).otherwise(0.0)
+    per_query = Window.partitionBy("query_id")
     need = F.greatest(F.lit(1), F.floor(F.col("n") * min_match).cast("int"))
-    rarity = Window.partitionBy("query_id").orderBy(F.coalesce("df", F.lit(0)), "term")
-    asked = (
-        query_terms.join(sizes, "query_id")
-        .join(doc_freq, "term", "left")
-        .withColumns({"need": need, "_rarity": F.row_number().over(rarity)})
-        .filter(F.col("df").isNotNull())
+    rarity = F.row_number().over(per_query.orderBy(F.coalesce("df", F.lit(0)), "term"))
+    asked = cut_lineage(
+        query_terms.join(index.doc_freq, "term", "left")
+        .withColumns({"n": F.count(F.lit(1)).over(per_query), "_rarity": rarity})
+        .withColumn("need", need)
         .withColumn("_leads", F.col("_rarity") <= F.col("n") - F.col("need") + 1)
+        .filter(F.col("df").isNotNull())
         .drop("n", "_rarity", "df")
-        .withColumn("_stats", field_statistics(chunks, fields).select(F.struct("*")).scalar())
+        .withColumn("_stats", index.statistics.select(F.struct("*")).scalar())
         .select("*", "_stats.*")
         .drop("_stats")
     )
-    scores = [(F.col("weight") * impact[f"s_{f}"]).alias(f"s_{f}") for f in fields]
-    kept = ["query_id", "chunk_id", "need", *scores]
+    kept = ["query_id", "chunk_id", "need", *[(F.col("weight") * impact[f]).alias(f"s_{f}") for f in fields]]
     leading = known.join(asked.filter("_leads"), "term").select(*kept)
-    candidates = leading.select("query_id", "chunk_id").distinct()
     frequent = asked.filter(~F.col("_leads"))
+    candidates = leading.select("query_id", "chunk_id").distinct()
     looked_up = (
         known.join(frequent.select("term").distinct(), "term", "left_semi")
         .join(candidates, "chunk_id")
@@ -402,9 +413,8 @@ def normalize_scores(hits: DataFrame, method: str = "minmax", score: str = "scor
 def search(
     query_terms: DataFrame,
     queries: DataFrame,
-    chunks: DataFrame,
+    index: TextIndex,
     vectors: DataFrame,
-    fields: Mapping[str, str],
     boosts: Mapping[str, float],
     topn: int,
     text_weight: float = 0.05,
@@ -415,19 +425,17 @@ def search(
 ) -> DataFrame:
     """First stage: text hits blended with their vector similarity; questions without a hit are asked again, relaxed.
 
-    One index pass serves both stages: the relaxed match is computed once and the strict one is its subset.
+    ``queries(query_id, vector)``; both passes read one index.
     """
 
-    def stage(match: float, sim: float, only: DataFrame | None) -> DataFrame:
-        asked = query_terms if only is None else query_terms.join(only, "query_id", "left_semi")
-        text_hits = text_match(asked, chunks, fields, boosts, match)
-        near = pair_similarity(text_hits, queries, vectors)
+    def stage(match: float, sim: float, asked: DataFrame) -> DataFrame:
+        near = pair_similarity(text_match(asked, index, boosts, match), queries, vectors)
         vector_part = F.when(F.round("cosine", 6) >= sim, F.col("cosine")).otherwise(0.0)
         blended = near.withColumn("score", F.col("score") * text_weight + vector_part * (1 - text_weight))
         return ordering.topk_per_query(blended.select("query_id", "chunk_id", "score", "cosine"), topn)
 
-    strict = stage(min_match, min_sim, None)
-    missed = queries.select("query_id").join(strict.select("query_id").distinct(), "query_id", "left_anti")
+    strict = cut_lineage(stage(min_match, min_sim, query_terms))
+    missed = query_terms.join(strict.select("query_id").distinct(), "query_id", "left_anti")
     return strict.unionByName(stage(relaxed_match, relaxed_sim, missed))
 
 

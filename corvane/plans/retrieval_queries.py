@@ -10,7 +10,14 @@ from corvane.operators import aggregates, filters, joins, ordering, retrieval, t
 from corvane.plans import inputs as inp
 from corvane.plans.registry import query, table
 from corvane.plans.term_sql import CENTROID_SQL, FEATURES_SQL, RETRIEVAL_BASE, bag_sql, text_hits_sql
-from corvane.plans.text_queries import BOOSTS, FIELDS, indexed_chunks, question_terms, question_weights
+from corvane.plans.text_queries import (
+    BOOSTS,
+    indexed_chunks,
+    question_index,
+    question_terms,
+    question_weights,
+    text_hits,
+)
 
 
 def centroids(spark, folder):
@@ -95,13 +102,13 @@ rranked AS (
 found AS (SELECT * FROM sranked WHERE rank <= 1024 UNION ALL SELECT * FROM rranked WHERE rank <= 1024)"""
 
 
-def first_stage(spark, folder, topn=1024):
+def first_stage(spark, folder, weights, topn=1024):
+    asked = question_terms(weights)
     return retrieval.search(
-        question_terms(spark, folder),
+        asked,
         question_vectors(spark, folder),
-        indexed_chunks(spark, folder),
+        question_index(spark, folder, asked),
         chunk_vectors(spark, folder),
-        FIELDS,
         BOOSTS,
         topn,
     )
@@ -109,7 +116,7 @@ def first_stage(spark, folder, topn=1024):
 
 @query("r10_search", FIRST_STAGE_SQL + "\nSELECT query_id, chunk_id, score, round(cosine, 6) AS cosine, rank FROM found")
 def r10_search(spark, folder):
-    return first_stage(spark, folder)
+    return first_stage(spark, folder, question_weights(spark, folder))
 
 
 RERANKED_SQL = f"""{FIRST_STAGE_SQL},
@@ -126,9 +133,10 @@ valid AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity
 
 
 def ranked_page(spark, folder):
-    features = retrieval.query_features(question_weights(spark, folder))
+    weights = question_weights(spark, folder)
+    features = retrieval.query_features(weights)
     return retrieval.retrieval(
-        first_stage(spark, folder), indexed_chunks(spark, folder), table(spark, folder, "documents").select("doc_id"), features
+        first_stage(spark, folder, weights), indexed_chunks(spark, folder), table(spark, folder, "documents").select("doc_id"), features
     )
 
 
@@ -154,10 +162,6 @@ def a2_doc_aggs(spark, folder):
     return facets
 
 
-def text_hits(spark, folder):
-    return retrieval.text_match(question_terms(spark, folder), indexed_chunks(spark, folder), FIELDS, BOOSTS, 0.3)
-
-
 TEXT_HITS_SQL = f"{RETRIEVAL_BASE},\n{text_hits_sql('hits', 0.3)}"
 
 
@@ -411,7 +415,8 @@ def r16_message_search(spark, folder):
     counts = asked.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("c"))
     totals = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
     weights = counts.join(totals, "query_id").select("query_id", "term", (F.col("c") / F.col("total")).alias("weight"))
-    hits = retrieval.text_match(weights, corpus, {"body": "tokens"}, {"body": 1.0}, 0.3)
+    index = retrieval.text_index(corpus, {"body": "tokens"}, weights)
+    hits = retrieval.text_match(weights, index, {"body": 1.0}, 0.3)
     return ordering.topk_per_query(hits.select("query_id", "chunk_id", "score"), 10).withColumnRenamed("chunk_id", "message_id")
 
 
@@ -446,5 +451,6 @@ def r15_skill_search(spark, folder):
         ).alias("term"),
         F.lit(1.0).alias("weight"),
     )
-    hits = retrieval.text_match(asked, catalogue, {"name": "name", "body": "body"}, {"name": 3.0, "body": 1.0}, 0.3)
+    index = retrieval.text_index(catalogue, {"name": "name", "body": "body"}, asked)
+    hits = retrieval.text_match(asked, index, {"name": 3.0, "body": 1.0}, 0.3)
     return ordering.topk_per_query(hits.select("query_id", "chunk_id", "score"), 10).withColumnRenamed("chunk_id", "p_partkey")

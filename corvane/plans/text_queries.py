@@ -8,6 +8,7 @@ from corvane.functions import text as tx
 from corvane.operators import ordering, retrieval, terms
 from corvane.plans import inputs as inp
 from corvane.plans.registry import query, table
+from corvane.session import cut_lineage
 from corvane.plans.term_sql import COUNTS_SQL, QUERY_WEIGHTS_SQL, RAW_WEIGHT_SQL, RETRIEVAL_BASE, STATS_SQL, text_hits_sql
 
 FIELDS = {"content": "tokens", "title": "title_tokens"}
@@ -23,12 +24,12 @@ def question_weights(spark, folder):
     rows = terms.explode_tokens(
         inp.questions(spark, folder).select("query_id", tx.words(tx.normalize_query("text")).alias("tokens")), "query_id"
     )
-    return terms.term_weights(rows, corpus_statistics(spark, folder), "query_id")
+    return cut_lineage(terms.term_weights(rows, corpus_statistics(spark, folder), "query_id"))
 
 
-def question_terms(spark, folder):
+def question_terms(weights):
     return (
-        question_weights(spark, folder)
+        weights
         .groupBy("query_id", F.col("token").alias("term"))
         .agg(F.sum("weight").alias("weight"))
     )
@@ -51,6 +52,16 @@ def indexed_chunks(spark, folder):
     )
 
 
+def question_index(spark, folder, asked):
+    return retrieval.text_index(indexed_chunks(spark, folder), FIELDS, asked)
+
+
+def text_hits(spark, folder):
+    """Text hits of the question set."""
+    asked = question_terms(question_weights(spark, folder))
+    return retrieval.text_match(asked, question_index(spark, folder, asked), BOOSTS, 0.3)
+
+
 @query(
     "k1_tokenize",
     f"""
@@ -195,4 +206,4 @@ def w10_bigrams(spark, folder):
     f"{RETRIEVAL_BASE},\n{text_hits_sql('hits', 0.3)}\nSELECT query_id, chunk_id, round(score, 6) AS score, matched FROM hits",
 )
 def r1_text_match(spark, folder):
-    return retrieval.text_match(question_terms(spark, folder), indexed_chunks(spark, folder), FIELDS, BOOSTS, 0.3)
+    return text_hits(spark, folder)

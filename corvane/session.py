@@ -6,6 +6,7 @@ A cluster brings its own session; nothing in the library depends on these values
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,20 +30,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder so that iterations do not replay each other.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local master, where every
-    task shares one disk, may fall back to a scratch folder.
+    Only a local master, where every task shares one disk, may fall back to a scratch folder.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="corvane-checkpoint-")
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        import tempfile
+
+        folder = tempfile.mkdtemp(prefix="corvane-checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For results a plan reads several times and for the steps of iterations: the work runs once, later plans stay
+    short, column pruning still applies, the size is known for join choices, and a lost executor loses nothing.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/corvane-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
