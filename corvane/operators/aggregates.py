@@ -18,8 +18,8 @@ def terms_count(df: DataFrame, field: str) -> DataFrame:
     is_array = dict(df.dtypes)[field].startswith("array")
     value = F.explode(F.col(field)) if is_array else F.col(field)
     return (
-        df.select(value.cast("string").alias("value"))
-        .select(F.trim("value").alias("value"))
+        df.select(value.alias("value"))
+        .select(F.trim(F.col("value").cast("string")).alias("value"))
         .filter(F.col("value") != "")
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
