@@ -101,7 +101,7 @@ def tag_pairs(lines: DataFrame, key: str = "doc_id") -> DataFrame:
             F.max(F.when(F.col("pair") == 1, F.element_at("parts", 2))).alias("tags"),
         )
         .filter(F.col("tags").isNotNull())
-        .withColumn("tags", tx.split_values("tags"))
+        .withColumn("tags", F.filter(F.transform(F.split("tags", ","), lambda t: F.replace(F.trim(t), F.lit("."), F.lit("_"))), lambda t: t != ""))
     )
 
 

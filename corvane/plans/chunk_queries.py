@@ -210,8 +210,8 @@ m AS (SELECT doc_id, ord, line, string_split(line, ',') AS p FROM lines),
 i AS (SELECT *, coalesce(sum(CASE WHEN len(p) = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS item FROM m),
 o AS (SELECT doc_id, CAST(item AS BIGINT) AS item, md5(string_agg(chr(10) || CASE WHEN len(p) = 2 THEN p[1] ELSE line END, '' ORDER BY ord)) AS content, max(CASE WHEN len(p) = 2 THEN p[2] END) AS tags
 FROM i GROUP BY doc_id, item HAVING bool_or(len(p) = 2)),
-v AS (SELECT *, list_filter(list_transform(regexp_split_to_array(trim(tags), '[、,，;；|]+'), lambda x: trim(x)), lambda x: x <> '') AS vs FROM o)
-SELECT doc_id, item, content, array_to_string(list_filter(vs, lambda x, i: list_position(vs, x) = i), ',') AS tags FROM v
+v AS (SELECT *, list_filter(list_transform(string_split(tags, ','), lambda x: replace(trim(x), '.', '_')), lambda x: x <> '') AS vs FROM o)
+SELECT doc_id, item, content, array_to_string(vs, ',') AS tags FROM v
 """,
 )
 def c16_tag_pairs(spark, folder):
