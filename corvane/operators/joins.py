@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.operators import ordering
+from corvane.functions import scalars as sc
+from corvane.operators import ordering, retrieval
 from corvane.operators.scans import bounded_groups
 
 
@@ -119,26 +118,32 @@ def metadata_facets(documents: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
+def piece_scores(pieces: DataFrame, hits: DataFrame, text_weight: float = 0.1, vector_weight: float = 0.9) -> DataFrame:
+    """Hybrid score of each answer sentence against the hits of its own answer.
+
+    ``pieces(answer_id, piece, features, feature_total, vector)``, ``hits(answer_id, chunk_id, tokens, embedding)``.
+    The hits of an answer are a top-k list, so a sentence meets at most k chunks.
+    """
+    token_part = retrieval.token_similarity(F.col("features"), F.col("feature_total"), F.col("tokens"))
+    vector_part = F.coalesce(sc.cosine(F.col("vector"), F.col("embedding").cast("array<double>")), F.lit(0.0))
+    score = F.when(vector_part == 0, token_part).otherwise(token_part * text_weight + vector_part * vector_weight)
+    return pieces.join(hits, "answer_id").select("answer_id", "piece", "chunk_id", F.round(score, 6).alias("score"))
+
+
 def citation_join(
-    pieces: DataFrame,
-    hits: DataFrame,
+    scored: DataFrame,
     start: float = 0.63,
     decay: float = 0.8,
     floor: float = 0.3,
     top_share: float = 0.99,
     limit: int = 4,
 ) -> DataFrame:
-    """Citations ``(answer_id, piece, chunk_id, score)`` of answer sentences.
+    """Citations ``(answer_id, chunk_id, piece, score)`` out of the scores of answer sentences.
 
-    ``pieces(answer_id, piece, features, feature_total, vector)`` meet the answer's own candidate list
-    ``hits(answer_id, chunks array<struct<chunk_id, bag, vector>>)``, a top-k list of fixed length, inside one row.
     The threshold of an answer starts at ``start`` and falls by ``decay`` while nothing is cited and it is above
     ``floor``. Each piece cites all chunks above ``top_share`` of its best score, at most ``limit``, and a chunk is
     cited once, by its first piece.
     """
-    scored = pieces.join(hits, "answer_id").select("answer_id", "piece", F.explode("scores").alias("s")).select(
-        "answer_id", "piece", "s.chunk_id", "s.score"
-    ) if "scores" in hits.columns else pieces
     best = scored.groupBy("answer_id", "piece").agg(F.max("score").alias("_best"))
     steps = F.array(*[F.lit(round(t, 9)) for t in _thresholds(start, decay, floor)])
     top = best.groupBy("answer_id").agg(F.max("_best").alias("_top"))
