@@ -1,0 +1 @@
+"""Continuous forms of the batch jobs on Structured Streaming."""
