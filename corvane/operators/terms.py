@@ -31,13 +31,19 @@ def explode_tokens(df: DataFrame, key: str, tokens: Column | str = "tokens") ->
     return df.select(key, F.posexplode(tokens).alias("pos", "token"))
 
 
-def document_frequency(df: DataFrame, key: str, tokens: Column | str = "tokens") -> DataFrame:
+def document_frequency(
+    df: DataFrame, key: str, tokens: Column | str = "tokens", vocabulary: DataFrame | None = None
+) -> DataFrame:
     """``(token, df, tf)``: documents holding the token and its occurrences.
 
     Occurrences are counted per document first, on the map side, so a frequent token reaches the second
-    aggregation as one row per document at most.
+    aggregation as one row per document at most. A ``vocabulary(token)`` restricts the count to its tokens before
+    anything is shuffled.
     """
-    per_doc = df.select(key, F.explode(tokens).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.select(key, F.explode(tokens).alias("token"))
+    if vocabulary is not None:
+        rows = rows.join(vocabulary.select("token").distinct(), "token", "left_semi")
+    per_doc = rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
     return per_doc.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("_n").alias("tf"))
 
 
@@ -59,14 +65,17 @@ def raw_term_weight(token: Column, tf: Column, df: Column) -> Column:
 
 
 def term_weights(token_rows: DataFrame, stats: DataFrame, key: str) -> DataFrame:
-    """Add ``weight`` to rows ``(key, …, token)``: term weights that add up to 1 within each key."""
-    weighed = (
+    """Add ``weight`` to rows ``(key, …, token)``: term weights that add up to 1 within each key.
+
+    A key is one question or one text, whose tokens came out of one row, so a window holds them.
+    """
+    raw = raw_term_weight(F.col("token"), F.col("tf"), F.col("df"))
+    return (
         token_rows.join(stats, "token", "left")
-        .withColumn("_raw", raw_term_weight(F.col("token"), F.col("tf"), F.col("df")))
-        .drop("tf", "df")
+        .withColumn("_raw", raw)
+        .withColumn("weight", F.col("_raw") / F.sum("_raw").over(Window.partitionBy(key)))
+        .drop("tf", "df", "_raw")
     )
-    sums = weighed.groupBy(key).agg(F.sum("_raw").alias("_sum"))
-    return weighed.join(sums, key).withColumn("weight", F.col("_raw") / F.col("_sum")).drop("_raw", "_sum")
 
 
 def token_merge(tokens: Column, stop_words: Sequence[str] = ()) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as tx
@@ -260,3 +261,29 @@ def m9_fill_missing(spark, folder):
 def m10_conversation_fit(spark, folder):
     rows = inp.messages(spark, folder).select("memory_id", "turn", "role", "content")
     return memory.conversation_fit(rows, 120)
+
+
+@query(
+    "w5_fit_graph_context",
+    """
+WITH e AS (SELECT n_regionkey AS query_id, n_name AS item, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) AS rank, n_nationkey + 10 AS tokens FROM nation),
+r AS (SELECT c_nationkey % 5 AS query_id, c_name AS item, row_number() OVER (PARTITION BY c_nationkey % 5 ORDER BY c_name) AS rank, c_nationkey + 1 AS tokens FROM customer),
+eu AS (SELECT *, sum(tokens) OVER (PARTITION BY query_id ORDER BY rank) AS upto FROM e),
+used AS (SELECT query_id, max(upto) FILTER (WHERE upto < 150) AS kept, min(upto) FILTER (WHERE upto >= 150) AS over FROM eu GROUP BY query_id),
+ru AS (SELECT *, sum(tokens) OVER (PARTITION BY query_id ORDER BY rank) AS upto FROM r)
+SELECT CAST(query_id AS BIGINT) AS query_id, 'entity' AS kind, item FROM eu WHERE upto < 150
+UNION ALL SELECT CAST(query_id AS BIGINT), 'relation', item FROM ru JOIN used USING (query_id) WHERE upto < 150 - coalesce(over, kept, 0)
+""",
+)
+def w5_fit_graph_context(spark, folder):
+    place = lambda key, name: F.row_number().over(Window.partitionBy(key).orderBy(name))
+    nations = table(spark, folder, "nation")
+    entities = nations.select(
+        F.col("n_regionkey").alias("query_id"), place("n_regionkey", "n_name").alias("rank"), F.col("n_name").alias("item"), (F.col("n_nationkey") + 10).alias("tokens")
+    )
+    customers = table(spark, folder, "customer").withColumn("query_id", F.col("c_nationkey") % 5)
+    relations = customers.select(
+        "query_id", place("query_id", "c_name").alias("rank"), F.col("c_name").alias("item"), (F.col("c_nationkey") + 1).alias("tokens")
+    )
+    kept = ordering.fit_graph_context(entities, relations, 150)
+    return kept.select("query_id", F.when(F.col("kind") == 0, "entity").otherwise("relation").alias("kind"), "item")

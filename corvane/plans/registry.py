@@ -8,13 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvane.session import spread
+
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
 
 
+# Tables of long texts, by the key their rows are spread over when the file has too few splits.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows, TEXT_KEYS[name]) if name in TEXT_KEYS else rows
 
 
 def plain(df: DataFrame) -> DataFrame:

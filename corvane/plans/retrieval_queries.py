@@ -15,7 +15,7 @@ from corvane.plans.text_queries import (
     indexed_chunks,
     question_index,
     question_terms,
-    question_weights,
+    text_base,
     text_hits,
 )
 
@@ -102,21 +102,17 @@ rranked AS (
 found AS (SELECT * FROM sranked WHERE rank <= 1024 UNION ALL SELECT * FROM rranked WHERE rank <= 1024)"""
 
 
-def first_stage(spark, folder, weights, topn=1024):
+def first_stage(spark, folder, base, topn=1024):
+    chunks, weights = base
     asked = question_terms(weights)
     return retrieval.search(
-        asked,
-        question_vectors(spark, folder),
-        question_index(spark, folder, asked),
-        chunk_vectors(spark, folder),
-        BOOSTS,
-        topn,
+        asked, question_vectors(spark, folder), question_index(chunks, asked), chunk_vectors(spark, folder), BOOSTS, topn
     )
 
 
 @query("r10_search", FIRST_STAGE_SQL + "\nSELECT query_id, chunk_id, score, round(cosine, 6) AS cosine, rank FROM found")
 def r10_search(spark, folder):
-    return first_stage(spark, folder, question_weights(spark, folder))
+    return first_stage(spark, folder, text_base(spark, folder))
 
 
 RERANKED_SQL = f"""{FIRST_STAGE_SQL},
@@ -133,10 +129,12 @@ valid AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity
 
 
 def ranked_page(spark, folder):
-    weights = question_weights(spark, folder)
-    features = retrieval.query_features(weights)
+    base = text_base(spark, folder)
     return retrieval.retrieval(
-        first_stage(spark, folder, weights), indexed_chunks(spark, folder), table(spark, folder, "documents").select("doc_id"), features
+        first_stage(spark, folder, base),
+        base[0],
+        table(spark, folder, "documents").select("doc_id"),
+        retrieval.query_features(base[1]),
     )
 
 
@@ -254,8 +252,8 @@ WINDOW_HITS_SQL = f"""{RETRIEVAL_BASE},
 win AS (SELECT query_id, chunk_id, score FROM hits QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, chunk_id) <= 70)"""
 
 
-def top_text_hits(spark, folder, k=70):
-    return ordering.topk_per_query(text_hits(spark, folder).select("query_id", "chunk_id", "score"), k)
+def top_text_hits(spark, folder, k=70, base=None):
+    return ordering.topk_per_query(text_hits(spark, folder, base).select("query_id", "chunk_id", "score"), k)
 
 
 @query(
@@ -268,11 +266,11 @@ LEFT JOIN qfeat f ON f.query_id = w.query_id AND f.feature = b.feature GROUP BY
 """,
 )
 def r4_token_similarity(spark, folder):
-    features = retrieval.query_features(question_weights(spark, folder))
+    chunks, weights = base = text_base(spark, folder)
     return (
-        top_text_hits(spark, folder)
-        .join(indexed_chunks(spark, folder).select("chunk_id", "tokens"), "chunk_id")
-        .join(features, "query_id")
+        top_text_hits(spark, folder, base=base)
+        .join(chunks.select("chunk_id", "tokens"), "chunk_id")
+        .join(retrieval.query_features(weights), "query_id")
         .select(
             "query_id",
             "chunk_id",
@@ -317,12 +315,13 @@ FROM sim
 """,
 )
 def r6_hybrid_score(spark, folder):
+    chunks, weights = base = text_base(spark, folder)
     pairs = retrieval.pair_similarity(
-        top_text_hits(spark, folder).select("query_id", "chunk_id"), question_vectors(spark, folder), chunk_vectors(spark, folder)
+        top_text_hits(spark, folder, base=base).select("query_id", "chunk_id"), question_vectors(spark, folder), chunk_vectors(spark, folder)
     )
     staged = (
-        pairs.join(indexed_chunks(spark, folder), "chunk_id")
-        .join(retrieval.query_features(question_weights(spark, folder)), "query_id")
+        pairs.join(chunks, "chunk_id")
+        .join(retrieval.query_features(weights), "query_id")
         .withColumn(
             "token_sim",
             retrieval.token_similarity(
@@ -361,11 +360,12 @@ FROM win JOIN ftotal USING (query_id) JOIN ctok USING (chunk_id) LEFT JOIN cov U
 """,
 )
 def r8_rerank(spark, folder):
-    external = top_text_hits(spark, folder).select("query_id", "chunk_id", (F.col("score") / 100).alias("model_score"))
+    chunks, weights = base = text_base(spark, folder)
+    external = top_text_hits(spark, folder, base=base).select("query_id", "chunk_id", (F.col("score") / 100).alias("model_score"))
     ranked = retrieval.rerank(
         external,
-        indexed_chunks(spark, folder),
-        retrieval.query_features(question_weights(spark, folder)),
+        chunks,
+        retrieval.query_features(weights),
         0.3,
         0.7,
         rank_feature=F.size("tokens") / 1000.0,

@@ -10,7 +10,7 @@ from corvane.plans import inputs as inp
 from corvane.plans.registry import query, table
 from corvane.plans.retrieval_queries import TEXT_HITS_SQL, question_vectors, chunk_vectors, top_text_hits
 from corvane.plans.term_sql import FEATURES_SQL, QUERY_WEIGHTS_SQL, STATS_SQL
-from corvane.plans.text_queries import PARAGRAPH_SQL, corpus_statistics, indexed_chunks, paragraphs, question_terms, question_weights
+from corvane.plans.text_queries import PARAGRAPH_SQL, corpus_statistics, paragraphs, question_terms, question_weights, text_base
 from corvane.session import cut_lineage
 
 def tagged_sql(smoothing):
@@ -258,8 +258,9 @@ def m15_compare_runs(spark, folder):
 @query("j14_citation_join")
 def j14_citation_join(spark, folder):
     """Sentences of each question cite the chunks of its top text hits."""
-    hits = cut_lineage(top_text_hits(spark, folder, 10).select(F.col("query_id").alias("answer_id"), "chunk_id"))
-    offered = hits.join(indexed_chunks(spark, folder).select("chunk_id", "tokens"), "chunk_id").join(
+    base = text_base(spark, folder)
+    hits = cut_lineage(top_text_hits(spark, folder, 10, base).select(F.col("query_id").alias("answer_id"), "chunk_id"))
+    offered = hits.join(base[0].select("chunk_id", "tokens"), "chunk_id").join(
         chunk_vectors(spark, folder), "chunk_id", "left"
     )
     pieces = inp.questions(spark, folder).select(

@@ -15,30 +15,34 @@ FIELDS = {"content": "tokens", "title": "title_tokens"}
 BOOSTS = {"content": 2.0, "title": 10.0}
 
 
-def corpus_statistics(spark, folder):
+def corpus_statistics(spark, folder, vocabulary=None):
     docs = table(spark, folder, "documents").select("doc_id", tx.words("text").alias("tokens"))
-    return terms.document_frequency(docs, "doc_id")
+    return terms.document_frequency(docs, "doc_id", vocabulary=vocabulary)
 
 
-def question_weights(spark, folder):
+def question_weights(spark, folder, chunks=None):
+    """Term weights of the question set, from the corpus statistics of its own words."""
     rows = terms.explode_tokens(
         inp.questions(spark, folder).select("query_id", tx.words(tx.normalize_query("text")).alias("tokens")), "query_id"
     )
-    return cut_lineage(terms.term_weights(rows, corpus_statistics(spark, folder), "query_id"))
+    if chunks is None:
+        stats = corpus_statistics(spark, folder, rows)
+    else:
+        stats = terms.document_frequency(chunks, "doc_id", vocabulary=rows)
+    return cut_lineage(terms.term_weights(rows, stats, "query_id"))
 
 
 def question_terms(weights):
-    return (
-        weights
-        .groupBy("query_id", F.col("token").alias("term"))
-        .agg(F.sum("weight").alias("weight"))
-    )
+    return weights.groupBy("query_id", F.col("token").alias("term")).agg(F.sum("weight").alias("weight"))
 
 
 def indexed_chunks(spark, folder):
-    """Chunks with their tokens, the title tokens (the document's first line) and a document name."""
+    """Chunks with their tokens, the title tokens (the document's first line) and a document name.
+
+    Written once, since matching, statistics and re-ranking all read it.
+    """
     first_line = F.element_at(F.split("text", "\n"), 1)
-    return (
+    return cut_lineage(
         table(spark, folder, "documents")
         .select("doc_id", "source", tx.words(first_line).alias("title_tokens"), F.posexplode(F.split("text", "\n")).alias("ord", "content"))
         .filter(F.col("content").rlike(r"\S"))
@@ -52,14 +56,24 @@ def indexed_chunks(spark, folder):
     )
 
 
-def question_index(spark, folder, asked):
-    return retrieval.text_index(indexed_chunks(spark, folder), FIELDS, asked)
+def text_base(spark, folder):
+    """What every text query starts from: the chunk table and the weights of the questions.
+
+    A document's words are the words of its chunks, so the statistics come from the chunk table as well.
+    """
+    chunks = indexed_chunks(spark, folder)
+    return chunks, question_weights(spark, folder, chunks)
+
+
+def question_index(chunks, asked):
+    return retrieval.text_index(chunks, FIELDS, asked)
 
 
-def text_hits(spark, folder):
+def text_hits(spark, folder, base=None):
     """Text hits of the question set."""
-    asked = question_terms(question_weights(spark, folder))
-    return retrieval.text_match(asked, question_index(spark, folder, asked), BOOSTS, 0.3)
+    chunks, weights = text_base(spark, folder) if base is None else base
+    asked = question_terms(weights)
+    return retrieval.text_match(asked, question_index(chunks, asked), BOOSTS, 0.3)
 
 
 @query(

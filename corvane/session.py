@@ -30,6 +30,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input of few splits, such as one small file, before expensive per-row work.
+
+    An input split holds at most ``spark.sql.files.maxPartitionBytes``, so fewer splits than cores bounds what is
+    moved here to that much per core. A larger input already fills the cluster and is left where it is. Rows are
+    placed by key, which later groupings by that key reuse.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
