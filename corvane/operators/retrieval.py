@@ -79,9 +79,10 @@ def text_match(
     """Best-field weighted text score ``(query_id, chunk_id, score, matched)`` of the chunks that match enough terms.
 
     ``query_terms(query_id, term, weight)`` has distinct terms per query. A chunk needs ``floor(min_match * n)`` of
-    the n terms, at least one. So it must hold one of the ``n - need + 1`` rarest: only those generate candidates,
-    and the frequent terms are looked up for candidates alone. Nothing is dropped: the result is exact while the
-    postings of the most frequent terms never meet all queries.
+    the n terms, at least one. The ``need / 2`` most frequent terms of a query make no candidates: a chunk that
+    qualifies holds at least ``need - need / 2`` of the others, so those find all candidates, and the frequent terms
+    are looked up for candidates alone. Nothing is dropped: the result is exact while the postings of the most
+    frequent terms never meet all queries.
     """
     known, fields = index.postings, index.fields
     impact = {}
@@ -97,28 +98,30 @@ def text_match(
         query_terms.join(index.doc_freq, "term", "left")
         .withColumns({"n": F.count(F.lit(1)).over(per_query), "_rarity": rarity})
         .withColumn("need", need)
-        .withColumn("_leads", F.col("_rarity") <= F.col("n") - F.col("need") + 1)
+        .withColumn("_leads", F.col("_rarity") <= F.col("n") - F.floor(F.col("need") / 2))
         .filter(F.col("df").isNotNull())
         .drop("n", "_rarity", "df")
         .withColumn("_stats", index.statistics.select(F.struct("*")).scalar())
         .select("*", "_stats.*")
         .drop("_stats")
     )
-    kept = ["query_id", "chunk_id", "need", *[(F.col("weight") * impact[f]).alias(f"s_{f}") for f in fields]]
-    leading = known.join(asked.filter("_leads"), "term").select(*kept)
+    def scored(rows: DataFrame) -> DataFrame:
+        parts = [F.sum(F.col("weight") * impact[f]).alias(f"s_{f}") for f in fields]
+        return rows.groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).alias("matched"), F.max("need").alias("need"), *parts)
+
+    enough = F.col("matched") >= F.col("need") - F.floor(F.col("need") / 2)
+    candidates = cut_lineage(scored(known.join(asked.filter("_leads"), "term")).filter(enough))
     frequent = asked.filter(~F.col("_leads"))
-    candidates = leading.select("query_id", "chunk_id").distinct()
-    looked_up = (
+    looked_up = scored(
         known.join(frequent.select("term").distinct(), "term", "left_semi")
-        .join(candidates, "chunk_id")
+        .join(candidates.select("query_id", "chunk_id"), "chunk_id")
         .join(frequent, ["query_id", "term"])
-        .select(*kept)
     )
     return (
-        leading.unionByName(looked_up)
+        candidates.unionByName(looked_up)
         .groupBy("query_id", "chunk_id")
         .agg(
-            F.count(F.lit(1)).alias("matched"),
+            F.sum("matched").alias("matched"),
             F.max("need").alias("need"),
             *[F.sum(f"s_{f}").alias(f"s_{f}") for f in fields],
         )
@@ -133,33 +136,34 @@ def text_match(
 
 
 def matched_pairs(needs: DataFrame, index: DataFrame, query_key: str, chunk_key: str) -> DataFrame:
-    """Pairs ``(query, chunk, matched)`` sharing at least ``need`` terms, by the same rarest-terms rule.
+    """Pairs ``(query, chunk, matched)`` sharing at least ``need`` terms, by the same rule as ``text_match``.
 
     ``needs(query_key, term, need)`` holds distinct terms, ``index(chunk_key, term)`` distinct postings.
     """
     doc_freq = index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    sizes = needs.groupBy(query_key).agg(F.count(F.lit(1)).alias("n"))
-    rarity = Window.partitionBy(query_key).orderBy(F.coalesce("df", F.lit(0)), "term")
+    per_query = Window.partitionBy(query_key)
+    need = F.greatest(F.lit(1), F.col("need"))
+    rarity = F.row_number().over(per_query.orderBy(F.coalesce("df", F.lit(0)), "term"))
     asked = (
-        needs.join(sizes, query_key)
-        .join(doc_freq, "term", "left")
-        .withColumn("need", F.greatest(F.lit(1), F.col("need")))
-        .withColumn("_leads", F.row_number().over(rarity) <= F.col("n") - F.col("need") + 1)
+        needs.join(doc_freq, "term", "left")
+        .withColumns({"need": need, "n": F.count(F.lit(1)).over(per_query), "_rarity": rarity})
+        .withColumn("_leads", F.col("_rarity") <= F.col("n") - F.floor(F.col("need") / 2))
         .filter(F.col("df").isNotNull())
+        .select(query_key, "term", "need", "_leads")
     )
-    leading = index.join(asked.filter("_leads"), "term").select(query_key, chunk_key, "need")
-    candidates = leading.select(query_key, chunk_key).distinct()
-    frequent = asked.filter(~F.col("_leads")).select(query_key, "term", "need")
-    looked_up = (
+    count = lambda rows: rows.groupBy(query_key, chunk_key).agg(F.count(F.lit(1)).alias("matched"), F.max("need").alias("need"))
+    enough = F.col("matched") >= F.col("need") - F.floor(F.col("need") / 2)
+    candidates = cut_lineage(count(index.join(asked.filter("_leads"), "term")).filter(enough))
+    frequent = asked.filter(~F.col("_leads"))
+    looked_up = count(
         index.join(frequent.select("term").distinct(), "term", "left_semi")
-        .join(candidates, chunk_key)
+        .join(candidates.select(query_key, chunk_key), chunk_key)
         .join(frequent, [query_key, "term"])
-        .select(query_key, chunk_key, "need")
     )
     return (
-        leading.unionByName(looked_up)
+        candidates.unionByName(looked_up)
         .groupBy(query_key, chunk_key)
-        .agg(F.count(F.lit(1)).alias("matched"), F.max("need").alias("need"))
+        .agg(F.sum("matched").alias("matched"), F.max("need").alias("need"))
         .filter(F.col("matched") >= F.col("need"))
         .drop("need")
     )

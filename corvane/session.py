@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", os.environ.get("CORVANE_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.openCostInBytes", str(128 * 1024))  # small test files still use every core
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -33,12 +34,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use all cores on an input of few splits, such as one small file, before expensive per-row work.
 
-    An input split holds at most ``spark.sql.files.maxPartitionBytes``, so fewer splits than cores bounds what is
-    moved here to that much per core. A larger input already fills the cluster and is left where it is. Rows are
+    An input split holds at most ``spark.sql.files.maxPartitionBytes``, so fewer than two splits per core bounds what
+    is moved here to that much for each. A larger input already fills the cluster and is left where it is. Rows are
     placed by key, which later groupings by that key reuse.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 2 * cores else df
 
 
 def shared_folder(spark: SparkSession) -> str:
