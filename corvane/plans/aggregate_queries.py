@@ -329,8 +329,8 @@ WITH r AS (
   UNION ALL SELECT source, 'recall', CASE WHEN n_chars > 300 THEN 1.0 ELSE 0.0 END FROM documents
   UNION ALL SELECT source, 'execution_time', n_chars / 400.0 FROM documents),
 m AS (SELECT run_id, metric, avg(value) AS average, count(*) AS cases FROM r GROUP BY ALL)
-SELECT run_id, metric, round(average, 6) AS average, cases, CASE WHEN metric = 'precision' AND average < 0.7 THEN 'Low Precision'
-  WHEN metric = 'recall' AND average < 0.7 THEN 'Low Recall' WHEN metric = 'execution_time' AND average > 5 THEN 'Slow Response Time' END AS issue FROM m
+SELECT run_id, metric, round(average, 6) AS average, cases, CASE WHEN metric = 'precision' AND round(average, 9) < 0.7 THEN 'Low Precision'
+  WHEN metric = 'recall' AND round(average, 9) < 0.7 THEN 'Low Recall' WHEN metric = 'execution_time' AND round(average, 9) > 5 THEN 'Slow Response Time' END AS issue FROM m
 """,
 )
 def a20_evaluation_summary(spark, folder):
