@@ -366,7 +366,8 @@ def st4_memory_state(spark, folder):
 @query("st5_usage_stats_stream", USAGE_SQL.replace("count(DISTINCT user_id) AS uv,", ""))
 def st5_usage_stats_stream(spark, folder):
     run = fresh_folder(spark)
-    rows = conversation_rows(event_stream(spark, folder)).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    as_utc = F.from_utc_timestamp(F.col("created_at").cast("timestamp"), F.current_timezone())
+    rows = conversation_rows(event_stream(spark, folder)).withColumn("created_at", as_utc)
     write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{run}/out")
     writer = ingest.usage_stats_stream(rows).writeStream.outputMode("complete").foreachBatch(write)
     writer.option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True).start().awaitTermination()

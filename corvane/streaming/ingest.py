@@ -69,7 +69,7 @@ def idempotent_upsert(
 
 
 def usage_stats_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Daily usage over event time; rows later than the delay are not counted (the batch form counts them).
+    """Usage per UTC day of event time; rows later than the delay are not counted (the batch form counts them).
 
     Distinct users are sketched, since exact sets would grow the state without bound.
     """
@@ -84,7 +84,7 @@ def usage_stats_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
             F.avg("rounds").alias("rounds"),
             F.sum("thumb_up").alias("thumb_up"),
         )
-        .select(F.to_date("w.start").alias("day"), "pv", "uv", "speed", "tokens", "rounds", "thumb_up")
+        .select(F.to_date(F.to_utc_timestamp("w.start", F.current_timezone())).alias("day"), "pv", "uv", "speed", "tokens", "rounds", "thumb_up")
     )
 
 
