@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import mixing, quality, sharding
+from corvane.llm import lines, mixing, near_duplicates, pieces, quality, repeats, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +90,23 @@ def op10_shard_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op7_repeated_passages")
+def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_passages(table(spark, folder, "documents"), window=35)
+
+
+@query("op8_fuzzy_lines")
+def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.fuzzy_lines(table(spark, folder, "documents"))
+
+
+@query("op6_sampled_pieces")
+def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.sample_pieces(table(spark, folder, "documents"))
