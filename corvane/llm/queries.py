@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import lines, mixing, near_duplicates, pieces, quality, repeats, sharding
+from corvane.llm import lines, mixing, near_duplicates, neighbours, pieces, quality, repeats, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -110,3 +110,9 @@ def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_sampled_pieces")
 def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.sample_pieces(table(spark, folder, "documents"))
+
+
+@query("op5_nearest_neighbours")
+def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"))
