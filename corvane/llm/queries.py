@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import lines, mixing, near_duplicates, neighbours, pieces, quality, repeats, sharding
+from corvane.llm import lines, mixing, near_duplicates, neighbours, pieces, quality, repeats, sharding, token_counts, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -116,3 +116,34 @@ def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
 def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return neighbours.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
+
+
+@query("op1_url_templates")
+def op1_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    # the number in a page's path is that of the document it shows
+    shown = pages.withColumn("doc_id", F.expr("try_cast(regexp_extract(url, '/([0-9]+)', 1) AS bigint)"))
+    labels = shown.join(table(spark, folder, "labels"), "doc_id").select("page_id", (F.col("quality") == 0).cast("int").alias("bad"))
+    return url_templates.judge_urls(pages, labels, URL_RULES)
+
+
+@query("op9_edited_token_counts")
+def op9_edited_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document gets three edits, drawn by its id: parts of its own text take the place of others."""
+    trees = token_counts.build_trees(table(spark, folder, "documents"))
+    size = F.greatest(F.lit(1), F.length("text"))
+    edits = F.transform(
+        F.array(*[F.lit(i) for i in range(3)]),
+        lambda i: F.struct(
+            F.pmod(F.xxhash64("doc_id", i), size).cast("int").alias("at"),
+            F.pmod(F.xxhash64("doc_id", i + 10), F.lit(30)).cast("int").alias("cut"),
+            F.substring(F.col("text"), (F.pmod(F.xxhash64("doc_id", i + 20), size) + 1).cast("int"), F.pmod(F.xxhash64("doc_id", i + 30), F.lit(40)).cast("int")).alias("put"),
+        ),
+    )
+    edited = token_counts.apply_edits(trees.withColumn("edits", edits))
+    return edited.select(
+        "doc_id", "tokens_before", "tokens_after", "leaves_before", "leaves_after", "encoded_leaves", F.crc32(F.col("text").cast("binary")).alias("text_crc32")
+    )
