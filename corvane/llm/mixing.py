@@ -19,7 +19,8 @@ def words_of(text: str | Column) -> Column:
 
 def draw(key: str | Column, seed: int) -> Column:
     """A number in [0, 1) fixed by key and seed: the first 52 bits of an md5 digest. A null key counts as empty."""
-    digest = F.md5(F.concat(F.coalesce(F.col(key) if isinstance(key, str) else key, F.lit("")).cast("string"), F.lit(f":{seed}")))
+    name = (F.col(key) if isinstance(key, str) else key).cast("string")
+    digest = F.md5(F.concat(F.coalesce(name, F.lit("")), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
 
 

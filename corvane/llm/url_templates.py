@@ -49,24 +49,28 @@ def _keep(rows: DataFrame, column: str, min_rows: int, min_share: float) -> Data
 
 
 def _alike(rows: DataFrame, z: float) -> DataFrame:
-    """The branches ``(host, node, token)`` that differ from what all branches of their node do together by chance only.
+    """The branches ``(host, node, token)`` that differ by chance only from what the like branches of their node do.
 
-    A branch is held against the sum over its siblings, itself included: by a chi-square test of the shapes that come
-    next below it, at ``df + z * sqrt(2 df)``, and by the difference of the labelled bad shares in standard errors. So
-    the work is in proportion to the branches, and no two are paired. A node with one branch keeps it.
+    Like branches have the same most frequent shape next below. A branch is held against their sum, itself included: by
+    a chi-square test of the shapes that come next, at ``df + z * sqrt(2 df)``, and by the difference of the labelled
+    bad shares in standard errors. So the work is in proportion to the branches, and no two are paired. A branch without
+    like ones stays.
     """
     below = F.coalesce(_shape(F.get("segments", F.col("depth"))), F.lit("{end}"))
     cells = rows.groupBy("host", "node", "token", below.alias("below")).agg(F.count(F.lit(1)).alias("n"), F.sum("labelled").alias("seen"), F.sum("bad").alias("bad"))
-    cells = cut_lineage(cells)
-    branches = cells.groupBy("host", "node", "token").agg(F.sum("n").alias("branch_n"), F.sum("seen").alias("branch_seen"), F.sum("bad").alias("branch_bad"))
-    pooled = cells.groupBy("host", "node", "below").agg(F.sum("n").alias("pool"))
-    nodes = branches.groupBy("host", "node").agg(
+    # branches are held against those whose most frequent next shape is the same
+    leading = cells.groupBy("host", "node", "token").agg(F.max_by("below", F.struct("n", "below")).alias("kind"))
+    cells = cut_lineage(cells.join(leading, ["host", "node", "token"]))
+    group = ["host", "node", "kind"]
+    branches = cells.groupBy(*group, "token").agg(F.sum("n").alias("branch_n"), F.sum("seen").alias("branch_seen"), F.sum("bad").alias("branch_bad"))
+    pooled = cells.groupBy(*group, "below").agg(F.sum("n").alias("pool"))
+    nodes = branches.groupBy(*group).agg(
         F.sum("branch_n").alias("node_n"), F.sum("branch_seen").alias("node_seen"), F.sum("branch_bad").alias("node_bad"), F.count(F.lit(1)).alias("branches")
     )
-    kinds = pooled.groupBy("host", "node").agg(F.count(F.lit(1)).alias("kinds"))
+    kinds = pooled.groupBy(*group).agg(F.count(F.lit(1)).alias("kinds"))
     # sum over shapes of (n - e)^2 / e, with e = branch * pool / node, is node / branch * sum(n^2 / pool) - branch
-    parts = cells.join(pooled, ["host", "node", "below"]).groupBy("host", "node", "token").agg(F.sum(F.col("n") * F.col("n") / F.col("pool")).alias("squares"))
-    tested = branches.join(parts, ["host", "node", "token"]).join(nodes, ["host", "node"]).join(kinds, ["host", "node"])
+    parts = cells.join(pooled, [*group, "below"]).groupBy(*group, "token").agg(F.sum(F.col("n") * F.col("n") / F.col("pool")).alias("squares"))
+    tested = branches.join(parts, [*group, "token"]).join(nodes, group).join(kinds, group)
     chi = F.col("squares") * F.col("node_n") / F.col("branch_n") - F.col("branch_n")
     free = F.col("kinds") - 1
     share = F.col("node_bad") / F.greatest(F.lit(1), F.col("node_seen"))
@@ -128,15 +132,17 @@ def judge_urls(
 
     The verdict is that of the longest rule that fits, else that of the page's template: blocked if its smoothed bad
     share is ``reject`` or more. The share is drawn by ``weight`` pseudo-labels towards that of the host, and the
-    host's towards that of all pages, so a template without labels follows its host. Null urls and urls without ``://`` have
-    empty host and path and share one template. Without any label everything is allowed. An empty table gives no rows.
+    host's towards that of all pages, so a template without labels follows its host; a host without any has no share and
+    is allowed. Null urls and urls without ``://`` have empty host and path and share one template. Rows with a repeated
+    key are judged each by itself. An empty table gives no rows.
     """
     rows = path_templates(pages, labels, key, url, **tree)
     seen, bad = rows.agg(F.sum("labelled"), F.sum("bad")).first()
     overall = (bad or 0) / seen if seen else 0.0
     counts = cut_lineage(rows.groupBy("host", "template").agg(F.sum("labelled").alias("seen"), F.sum("bad").alias("bad")))
-    hosts = counts.groupBy("host").agg(((F.sum("bad") + weight * overall) / (F.sum("seen") + weight)).alias("prior"))
-    shares = counts.join(hosts, "host").select("host", "template", ((F.col("bad") + weight * F.col("prior")) / (F.col("seen") + weight)).alias("bad_share"))
+    hosts = counts.groupBy("host").agg(((F.sum("bad") + weight * overall) / (F.sum("seen") + weight)).alias("prior"), F.sum("seen").alias("host_seen"))
+    smoothed = (F.col("bad") + weight * F.col("prior")) / (F.col("seen") + weight)
+    shares = counts.join(hosts, "host").select("host", "template", F.when(F.col("host_seen") > 0, smoothed).alias("bad_share"))
     rule, says = matched_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bad_share") >= reject, F.lit("block")).otherwise(F.lit("allow"))
     return rows.join(cut_lineage(shares), ["host", "template"]).select(
