@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import scalars as sc
 from corvane.functions import text as tx
-from corvane.operators.scans import bounded_groups, running_total
+from corvane.operators.scans import running_total
 
 
 def terms_count(df: DataFrame, field: str) -> DataFrame:
@@ -70,15 +70,15 @@ def metadata_summary(meta: DataFrame) -> DataFrame:
     return values.join(types, "key")
 
 
-def flatten_metadata(meta: DataFrame, limit: int = 1000) -> DataFrame:
-    """Inverted metadata ``(key, value, block, doc_ids, n)``.
+def flatten_metadata(meta: DataFrame) -> DataFrame:
+    """Inverted metadata ``(key, value, doc_ids, n)``: one row per key and value, whatever its number of documents.
 
-    The list of a frequent value is cut into blocks of about ``limit`` ids, so that no task holds them all.
+    The distinct pairs are the long form of the same table, for values whose list should not stand in one row.
     """
-    pairs = meta.select("key", "value", "doc_id").distinct()
     return (
-        bounded_groups(pairs, ["key", "value"], "doc_id", limit)
-        .groupBy("key", "value", "block")
+        meta.select("key", "value", "doc_id")
+        .distinct()
+        .groupBy("key", "value")
         .agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"), F.count(F.lit(1)).alias("n"))
     )
 
@@ -183,37 +183,32 @@ def memory_size(messages: DataFrame) -> DataFrame:
     return messages.groupBy("memory_id").agg(F.sum(message_size(F.col("content"))).alias("size"))
 
 
-def combine_records(records: DataFrame, group: str, order: str, limit: int = 1000) -> DataFrame:
+def combine_records(records: DataFrame, group: str, order: str) -> DataFrame:
     """Values of equal keys over many ``map<string,array<string>>`` records, in record order.
 
-    One row per (group, key, block): the values (lists flattened), and whether the key was a single scalar.
+    One row per (group, key): the values (lists flattened), and whether the key was a single scalar.
     """
     values = records.select(group, order, F.explode("record").alias("key", "value"))
     return (
-        bounded_groups(values, [group, "key"], order, limit)
-        .groupBy(group, "key", "block")
+        values.groupBy(group, "key")
         .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order, "value"))), lambda e: e["value"])).alias("values"))
         .withColumn("scalar", F.size("values") == 1)
     )
 
 
-def _distinct_text(df: DataFrame, keys: Sequence[str], column: str, separator: str, limit: int) -> DataFrame:
-    """Sorted distinct values of a text column per key, joined; oversized keys give several blocks."""
+def joined_text(df: DataFrame, keys: Sequence[str], column: str, separator: str, out: str | None = None) -> DataFrame:
+    """Sorted distinct values of a text column per key, joined: one row per key that has any.
+
+    Repeats go before the lists are built, and on the map side first.
+    """
     distinct = df.filter(F.col(column).isNotNull() & (F.col(column) != "")).select(*keys, column).distinct()
-    return (
-        bounded_groups(distinct, keys, column, limit)
-        .groupBy(*keys, "block")
-        .agg(F.array_join(F.array_sort(F.collect_list(column)), separator).alias(column))
-    )
+    return distinct.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(column)), separator).alias(out or column))
 
 
-def merge_entity_mentions(
-    mentions: DataFrame, separator: str = "<SEP>", limit: int = 1000
-) -> DataFrame:
-    """One row per entity: majority type (ties by name), distinct descriptions joined in order, number of sources.
+def merge_entity_mentions(mentions: DataFrame, separator: str = "<SEP>") -> DataFrame:
+    """One row per entity: majority type (ties by name), distinct descriptions joined in order, number and ids of sources.
 
-    Input ``name, type, description, source_id``. An entity with more than ``limit`` distinct descriptions has
-    further rows with ``block > 0`` that continue its description.
+    Input ``name, type, description, source_id``; ``source_ids`` is a sorted array.
     """
     types = (
         mentions.groupBy("name", "type")
@@ -221,9 +216,14 @@ def merge_entity_mentions(
         .groupBy("name")
         .agg(F.min_by("type", F.struct(-F.col("_n"), F.col("type"))).alias("type"), F.sum("_n").alias("mentions"))
     )
-    sources = mentions.groupBy("name").agg(F.countDistinct("source_id").alias("sources"))
-    texts = _distinct_text(mentions, ["name"], "description", separator, limit)
-    return types.join(sources, "name").join(texts, "name", "left").withColumn("block", F.coalesce("block", F.lit(0)))
+    texts = joined_text(mentions, ["name"], "description", separator)
+    return types.join(source_lists(mentions, ["name"]), "name").join(texts, "name", "left")
+
+
+def source_lists(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Number and sorted ids of the distinct sources of each key."""
+    distinct = df.select(*keys, "source_id").distinct()
+    return distinct.groupBy(*keys).agg(F.count("source_id").alias("sources"), F.array_sort(F.collect_list("source_id")).alias("source_ids"))
 
 
 def unordered(df: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -231,20 +231,13 @@ def unordered(df: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     return df.withColumns({src: F.least(src, dst), dst: F.greatest(src, dst)})
 
 
-def merge_relation_mentions(
-    mentions: DataFrame, separator: str = "<SEP>", limit: int = 1000
-) -> DataFrame:
-    """One row per unordered pair: summed weight, distinct descriptions and keywords joined, number of sources."""
+def merge_relation_mentions(mentions: DataFrame, separator: str = "<SEP>") -> DataFrame:
+    """One row per unordered pair: summed weight, distinct descriptions and keywords joined, number and ids of sources."""
     pairs = unordered(mentions)
-    sums = pairs.groupBy("src", "dst").agg(F.sum("weight").alias("weight"), F.countDistinct("source_id").alias("sources"))
-    texts = _distinct_text(pairs, ["src", "dst"], "description", separator, limit)
-    words = (
-        _distinct_text(pairs, ["src", "dst"], "keywords", ",", limit)
-        .groupBy("src", "dst", "block")
-        .agg(F.first("keywords").alias("keywords"))
-    )
-    lists = texts.join(words, ["src", "dst", "block"], "full")
-    return sums.join(lists, ["src", "dst"], "left").withColumn("block", F.coalesce("block", F.lit(0)))
+    ends = ["src", "dst"]
+    out = pairs.groupBy(*ends).agg(F.sum("weight").alias("weight")).join(source_lists(pairs, ends), ends)
+    out = out.join(joined_text(pairs, ends, "description", separator), ends, "left")
+    return out.join(joined_text(pairs, ends, "keywords", ","), ends, "left")
 
 
 def table_metadata(rows: DataFrame, columns: Sequence[str], order: str) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from corvane.functions import scalars as sc
 from corvane.operators import ordering, retrieval
-from corvane.operators.scans import bounded_groups
 
 
 def children_to_parents(hits: DataFrame, parents: DataFrame) -> DataFrame:
@@ -96,16 +95,14 @@ def doc_list_join(
     )
 
 
-def raw_with_extracts(raw: DataFrame, extracts: DataFrame, limit: int = 1000) -> DataFrame:
-    """Raw messages with the ids of their extracted children, in bounded blocks; messages without any have none."""
+def raw_with_extracts(raw: DataFrame, extracts: DataFrame) -> DataFrame:
+    """Raw messages with the sorted ids of their extracted children, one row each; messages without any have none."""
     listed = (
-        bounded_groups(extracts.select(F.col("source_id").alias("message_id"), F.col("message_id").alias("extract_id")), ["message_id"], "extract_id", limit)
-        .groupBy("message_id", "block")
+        extracts.select(F.col("source_id").alias("message_id"), F.col("message_id").alias("extract_id"))
+        .groupBy("message_id")
         .agg(F.array_sort(F.collect_list("extract_id")).alias("extracts"))
     )
-    return raw.join(listed, "message_id", "left").withColumns(
-        {"block": F.coalesce("block", F.lit(0)), "extracts": F.coalesce("extracts", F.array().cast("array<string>"))}
-    )
+    return raw.join(listed, "message_id", "left").withColumn("extracts", F.coalesce("extracts", F.array().cast("array<string>")))
 
 
 def metadata_facets(documents: DataFrame, meta: DataFrame) -> DataFrame:

@@ -47,17 +47,3 @@ def ordinal(
 ) -> DataFrame:
     """1-based position of each row within its key."""
     return running_total(df.withColumn("_one", F.lit(1).cast("bigint")), keys, bucket, order, "_one", out).drop("_one")
-
-
-def bounded_groups(
-    df: DataFrame, keys: Sequence[str], item: str, limit: int = 1000, out: str = "block"
-) -> DataFrame:
-    """Number the blocks of each key so that collecting a (key, block) stays near ``limit`` items.
-
-    A key with at most ``limit`` rows has the one block 0. A larger key spreads its rows over
-    ``ceil(n / limit)`` blocks by the digest of the item, so list columns built per block are whole and bounded.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    blocks = F.ceil(F.col("_n") / F.lit(limit)).cast("bigint")
-    digest = F.conv(F.substring(F.md5(F.col(item).cast("string")), 1, 8), 16, 10).cast("bigint")
-    return df.join(sizes, list(keys)).withColumn(out, digest % blocks).drop("_n")

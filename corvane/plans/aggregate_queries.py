@@ -63,13 +63,12 @@ def a5_metadata_summary(spark, folder):
     "a6_flatten_metadata",
     f"""
 WITH {inp.META_SQL},
-p AS (SELECT DISTINCT key, value, doc_id FROM meta),
-b AS (SELECT key, value, doc_id, ('0x' || md5(CAST(doc_id AS VARCHAR))[1:8])::BIGINT % CAST(ceil(count(*) OVER (PARTITION BY key, value) / 100.0) AS BIGINT) AS block FROM p)
-SELECT key, value, block, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids, count(*) AS n FROM b GROUP BY key, value, block
+p AS (SELECT DISTINCT key, value, doc_id FROM meta)
+SELECT key, value, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids, count(*) AS n FROM p GROUP BY key, value
 """,
 )
 def a6_flatten_metadata(spark, folder):
-    return aggregates.flatten_metadata(inp.metadata(spark, folder), limit=100).withColumn(
+    return aggregates.flatten_metadata(inp.metadata(spark, folder)).withColumn(
         "doc_ids", F.array_join(F.col("doc_ids").cast("array<string>"), ",")
     )
 
@@ -186,7 +185,7 @@ def a12_memory_size(spark, folder):
     "a13_combine_records",
     """
 WITH v AS (SELECT conv_id, turn, 'role' AS key, [role] AS vs FROM conversations UNION ALL SELECT conv_id, turn, 'turn', [CAST(turn AS VARCHAR), 'x'] FROM conversations)
-SELECT conv_id, key, CAST(0 AS BIGINT) AS block, array_to_string(flatten(list(vs ORDER BY turn)), ',') AS vals, len(flatten(list(vs))) = 1 AS scalar FROM v GROUP BY conv_id, key
+SELECT conv_id, key, array_to_string(flatten(list(vs ORDER BY turn)), ',') AS vals, len(flatten(list(vs))) = 1 AS scalar FROM v GROUP BY conv_id, key
 """,
 )
 def a13_combine_records(spark, folder):
@@ -196,7 +195,7 @@ def a13_combine_records(spark, folder):
         F.create_map(F.lit("role"), F.array("role"), F.lit("turn"), F.array(F.col("turn").cast("string"), F.lit("x"))).alias("record"),
     )
     return aggregates.combine_records(records, "conv_id", "turn").select(
-        "conv_id", "key", "block", F.array_join("values", ",").alias("vals"), "scalar"
+        "conv_id", "key", F.array_join("values", ",").alias("vals"), "scalar"
     )
 
 
@@ -217,12 +216,13 @@ def part_mentions(spark, folder):
     "a14_merge_entity_mentions",
     f"""
 WITH {MENTIONS_SQL}, t AS (SELECT name, arg_min(type, (-n, type)) AS type, CAST(sum(n) AS BIGINT) AS mentions FROM (SELECT name, type, count(*) AS n FROM mentions GROUP BY ALL) GROUP BY name)
-SELECT name, type, mentions, count(DISTINCT source_id) AS sources, string_agg(DISTINCT description, '<SEP>' ORDER BY description) AS description, CAST(0 AS BIGINT) AS block
+SELECT name, type, mentions, count(DISTINCT source_id) AS sources, string_agg(DISTINCT description, '<SEP>' ORDER BY description) AS description,
+  string_agg(DISTINCT CAST(source_id AS VARCHAR), ',' ORDER BY CAST(source_id AS VARCHAR)) AS source_ids
 FROM mentions m JOIN t USING (name) GROUP BY name, t.type, mentions
 """.replace("SELECT name, type, mentions, count", "SELECT name, t.type AS type, mentions, count"),
 )
 def a14_merge_entity_mentions(spark, folder):
-    return aggregates.merge_entity_mentions(part_mentions(spark, folder))
+    return aggregates.merge_entity_mentions(part_mentions(spark, folder)).withColumn("source_ids", F.array_join("source_ids", ","))
 
 
 @query(
@@ -231,13 +231,16 @@ def a14_merge_entity_mentions(spark, folder):
 WITH r AS (
   SELECT least(n_name, p_brand) AS src, greatest(n_name, p_brand) AS dst, l_quantity AS weight, l_returnflag AS description, l_linestatus AS keywords, l_shipdate AS s
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN part ON p_partkey = l_partkey)
-SELECT src, dst, sum(weight) AS weight, count(DISTINCT s) AS sources, CAST(0 AS BIGINT) AS block,
-  string_agg(DISTINCT description, '<SEP>' ORDER BY description) AS description, string_agg(DISTINCT keywords, ',' ORDER BY keywords) AS keywords
+SELECT src, dst, sum(weight) AS weight, count(DISTINCT s) AS sources,
+  string_agg(DISTINCT description, '<SEP>' ORDER BY description) AS description, string_agg(DISTINCT keywords, ',' ORDER BY keywords) AS keywords,
+  md5(string_agg(DISTINCT strftime(s, '%Y-%m-%d'), ',' ORDER BY strftime(s, '%Y-%m-%d'))) AS source_ids
 FROM r GROUP BY src, dst
 """,
 )
 def a15_merge_relation_mentions(spark, folder):
-    return aggregates.merge_relation_mentions(trade_mentions(spark, folder))
+    merged = aggregates.merge_relation_mentions(trade_mentions(spark, folder))
+    days = F.transform("source_ids", lambda s: F.date_format(s, "yyyy-MM-dd"))
+    return merged.withColumn("source_ids", F.md5(F.array_join(days, ",")))
 
 
 def trade_mentions(spark, folder):

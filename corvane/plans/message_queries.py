@@ -130,7 +130,7 @@ def j7_doc_list_join(spark, folder):
     "j8_raw_with_extracts",
     f"""
 WITH {inp.MESSAGES_SQL}
-SELECT u.message_id, CAST(0 AS BIGINT) AS block, coalesce(string_agg(a.message_id, ',' ORDER BY a.message_id), '') AS extracts
+SELECT u.message_id, coalesce(string_agg(a.message_id, ',' ORDER BY a.message_id), '') AS extracts
 FROM messages u LEFT JOIN messages a ON a.role = 'assistant' AND a.memory_id = u.memory_id AND a.turn = u.turn + 1 WHERE u.role = 'user' GROUP BY u.message_id
 """,
 )
