@@ -264,22 +264,29 @@ def parse_decisions(responses: DataFrame, limit: str = "n", key: str = "batch_id
 def contract_nodes(vertices: DataFrame, edges: DataFrame, components: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Merge the vertices of each component into the one of smallest name.
 
-    ``components(name, component)``. Edges are re-pointed, inner edges dropped and parallel edges added up.
+    ``components(name, component)``. Edges are re-pointed, inner edges dropped and parallel edges merged:
+    weights are added, and descriptions, keywords and source ids united where the edges have them.
     """
     target = components.withColumnRenamed("component", "_to")
     onto = lambda df, c: (
         df.join(target.withColumnRenamed("name", c), c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
     )
     moved = onto(onto(edges, "src"), "dst").filter("src <> dst")
-    merged_edges = aggregates.unordered(moved).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    pairs, ends = aggregates.unordered(moved), ["src", "dst"]
+    merged_edges = pairs.groupBy(*ends).agg(F.sum("weight").alias("weight"))
+    for column, separator in (("description", DESCRIPTION_SEPARATOR), ("keywords", ",")):
+        if column in edges.columns:
+            merged_edges = merged_edges.join(aggregates.joined_text(pairs, ends, column, separator), ends, "left")
+    if "source_ids" in edges.columns:
+        sources = pairs.select(*ends, F.explode("source_ids").alias("source_id"))
+        merged_edges = merged_edges.join(aggregates.source_lists(sources, ends), ends, "left")
     renamed = onto(vertices.withColumn("_old", F.col("name")), "name")
     types = renamed.groupBy("name").agg(
         F.min_by("type", F.struct((F.col("_old") != F.col("name")).alias("moved"), F.col("_old"))).alias("type"),
         F.count(F.lit(1)).alias("members"),
     )
-    texts = aggregates._distinct_text(renamed, ["name"], "description", DESCRIPTION_SEPARATOR, 1000)
-    merged = types.join(texts, "name", "left").withColumn("block", F.coalesce("block", F.lit(0)))
-    return merged, merged_edges
+    texts = aggregates.joined_text(renamed, ["name"], "description", DESCRIPTION_SEPARATOR)
+    return types.join(texts, "name", "left"), merged_edges
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -380,17 +387,18 @@ def community_weights(members: DataFrame, vertices: DataFrame) -> DataFrame:
     )
 
 
-def community_tables(members: DataFrame, edges: DataFrame, limit: int = 10_000) -> tuple[DataFrame, DataFrame]:
+def community_tables(members: DataFrame, edges: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Entities and inner relations of every community with at least two members.
 
-    The relation list of a community is a report of its ``limit`` heaviest relations. ``members(community, name)``.
+    Relations are ranked by weight; with ``limit`` only so many of the heaviest are listed. ``members(community, name)``.
     """
     sizes = members.groupBy("community").agg(F.count(F.lit(1)).alias("size")).filter("size >= 2")
     kept = members.join(sizes, "community")
     end = lambda c: kept.select("community", F.col("name").alias(c))
     inner = edges.join(end("src"), "src").join(end("dst"), ["community", "dst"])
     place = F.row_number().over(Window.partitionBy("community").orderBy(F.col("weight").desc(), "src", "dst"))
-    return kept, inner.withColumn("place", place).filter(F.col("place") <= limit)
+    ranked = inner.withColumn("place", place)
+    return kept, ranked if limit is None else ranked.filter(F.col("place") <= limit)
 
 
 def parse_reports(responses: DataFrame, key: str = "community", response: str = "response") -> DataFrame:

@@ -381,12 +381,12 @@ def boxed_chunks(spark, folder):
     "w12_positional_order",
     f"""
 WITH {inp.CHUNKS_SQL}, {POSITION_SQL}
-SELECT chunk_id FROM boxed ORDER BY list_avg(page_no) ASC NULLS LAST, top_edge[1], left_edge, doc_id, ord LIMIT 200
+SELECT chunk_id FROM boxed ORDER BY list_avg(page_no) ASC NULLS LAST, top_edge[1], left_edge, doc_id, ord
 """,
 )
 def w12_positional_order(spark, folder):
     keys = ordering.positional_order(F.col("pos"), F.col("page_no"), F.col("top_edge"))
-    return boxed_chunks(spark, folder).orderBy(*keys, "doc_id", "ord").limit(200).select("chunk_id")
+    return boxed_chunks(spark, folder).orderBy(*keys, "doc_id", "ord").select("chunk_id")
 
 
 @query(
