@@ -4,53 +4,98 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane.functions import scalars as sc
 from corvane.session import cut_lineage
 
+PARTS = ("dataset_id", "bucket")
+
+
+def stored_chunks(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows of a store with their ``bucket``, or None where there is no store. Dataset ids stay text."""
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    fields = [T.StructField(f.name, T.StringType() if f.name in PARTS else f.dataType, True) for f in found.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
 
 def read_chunks(spark: SparkSession, path: str, datasets: Sequence[str] | None = None) -> DataFrame:
     """Chunks of some datasets; other partitions are not touched."""
-    chunks = spark.read.parquet(path)
+    chunks = stored_chunks(spark, path)
+    if chunks is None:
+        raise ValueError(f"no chunk store at {path}")
+    chunks = chunks.drop("bucket")
     return chunks if datasets is None else chunks.filter(F.col("dataset_id").isin(*datasets))
 
 
-def latest_by_id(rows: DataFrame, key: str = "chunk_id", order: str | None = None) -> DataFrame:
+def latest_by_id(rows: DataFrame, key: str = "chunk_id", order: str | Column = "version") -> DataFrame:
     """One row per id, the last one by ``order``; combines on the map side."""
     others = [c for c in rows.columns if c != key]
-    by = F.col(order) if order else F.struct(*others)
-    return rows.groupBy(key).agg(F.max_by(F.struct(*others), by).alias("_r")).select(key, "_r.*").select(*rows.columns)
+    return rows.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("_r")).select(key, "_r.*").select(*rows.columns)
 
 
-def upsert(existing: DataFrame, new: DataFrame, key: str = "chunk_id", order: str | None = None) -> DataFrame:
-    """Existing rows replaced or joined by the new ones; within the new rows the last write of an id wins."""
-    fresh = latest_by_id(new, key, order)
-    return existing.join(fresh.select(key), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
+def write_chunks(new: DataFrame, path: str, key: str = "chunk_id", order: str | None = None, bucket_rows: int = 1_000_000) -> None:
+    """Upsert chunks into the store by id, whatever dataset an id stood in before.
 
-
-def write_chunks(new: DataFrame, path: str, key: str = "chunk_id", order: str | None = None) -> None:
-    """Upsert chunks into the store, rewriting only the datasets that have new rows."""
+    With ``order`` the row of largest order stays, of new and stored rows alike (of equal ones the new row); without it
+    the new rows must have distinct ids and replace stored ones. The store is cut by dataset and by a bucket of the id.
+    Only the cuts that hold or get one of the ids are rewritten, and those that lose their last row are removed. The
+    number of buckets doubles, in one rewrite of the store, when they hold more than twice ``bucket_rows`` rows.
+    """
     spark = new.sparkSession
-    fresh = cut_lineage(latest_by_id(new, key, order))
-    touched = fresh.select("dataset_id").distinct()
-    try:
-        stored = spark.read.parquet(path)
-    except Exception as error:  # the first write finds no store
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-        merged = fresh
+    rows = new.withColumn("dataset_id", F.col("dataset_id").cast("string"))
+    fresh = cut_lineage(rows if order is None else latest_by_id(rows, key, order))
+    count = fresh.count()
+    if order is None and fresh.select(key).distinct().count() < count:
+        raise ValueError("an order column is needed where ids repeat")
+    stored = stored_chunks(spark, path)
+    first = None if stored is None else stored.select("bucket").first()
+    if first is None:
+        buckets, touched, merged = max(1, -(-count // bucket_rows)), [], fresh
     else:
-        kept = stored.join(touched, "dataset_id", "left_semi").join(fresh.select(key), key, "left_anti")
-        merged = cut_lineage(kept.unionByName(fresh, allowMissingColumns=True))
-    (
-        merged.repartition("dataset_id", F.pmod(F.xxhash64(key), F.lit(16)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dataset_id")
-        .parquet(path)
-    )
+        held = int(first[0].partition("of")[2])
+        buckets = held
+        while stored.count() + count > 2 * buckets * bucket_rows:
+            buckets *= 2
+        old = stored
+        if buckets == held:
+            named = fresh.select("dataset_id", _bucket(key, buckets).alias("bucket"))
+            met = stored.join(fresh.select(key), key, "left_semi").select(*PARTS)
+            touched = [tuple(r) for r in named.unionByName(met).distinct().collect()]  # cuts of the store
+            keys = spark.createDataFrame(touched, "dataset_id string, bucket string")
+            same = stored["dataset_id"].eqNullSafe(keys["dataset_id"]) & (stored["bucket"] == keys["bucket"])
+            old = stored.filter(F.col("bucket").isin(*{b for _, b in touched})).join(F.broadcast(keys), same, "left_semi")
+        else:
+            touched = [tuple(r) for r in stored.select(*PARTS).distinct().collect()]
+        both = old.drop("bucket").withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+        last = F.struct("_new") if order is None else F.struct(order, "_new")
+        merged = cut_lineage(latest_by_id(both, key, last).drop("_new"))
+    placed = merged.withColumn("bucket", _bucket(key, buckets))
+    placed.repartition(*PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+    left = {tuple(r) for r in placed.select(*PARTS).distinct().collect()} if touched else set()
+    for dataset, bucket in touched:
+        if (dataset, bucket) not in left:
+            _remove_cut(spark, path, dataset, bucket)
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.concat(F.lpad(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"), 6, "0"), F.lit(f"of{buckets}"))
+
+
+def _remove_cut(spark: SparkSession, path: str, dataset: str | None, bucket: str) -> None:
+    """Delete the folder of a cut that has no rows left."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    name = "__HIVE_DEFAULT_PARTITION__" if dataset in (None, "") else escape(dataset)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dataset_id={name}/bucket={bucket}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def remove_first(values: Column, item: Column) -> Column:

@@ -60,12 +60,13 @@ def checkpointed_load(
     run_available(stream, split, checkpoint)
 
 
-def idempotent_upsert(
-    stream: DataFrame, target: str, checkpoint: str, key: str = "chunk_id", time: str = "at", delay: str = "1 day", order: str | None = None
-) -> None:
-    """Stream into the chunk store; repeats within the delay are dropped in state, later ones by the upsert."""
-    once = stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
-    run_available(once, lambda rows, n: store.write_chunks(rows, target, key, order), checkpoint)
+def idempotent_upsert(stream: DataFrame, target: str, checkpoint: str, key: str = "chunk_id", order: str = "at") -> None:
+    """Stream into the chunk store: of all versions of an id, the one of largest ``order`` stays.
+
+    The stored row is kept where it is newer, so repeats, replays and late versions change nothing, and late rows of
+    new ids are stored; no state is held between batches.
+    """
+    run_available(stream, lambda rows, n: store.write_chunks(rows, target, key, order), checkpoint)
 
 
 def usage_stats_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:

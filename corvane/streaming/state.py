@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,7 +17,8 @@ def memory_state(messages: DataFrame, capacity: int) -> DataFrame:
     """Retained messages of each memory as messages arrive: the oldest are forgotten while the bytes pass ``capacity``.
 
     Input ``memory_id, message_id, valid_at, size``. The state of a memory holds no more than its budget of messages,
-    and a batch is read piece by piece, so a busy memory does not grow in the task.
+    and a trigger's rows pass through a heap of that budget, so a busy memory does not grow in the task. What is kept
+    is the longest newest run within the capacity, in whatever order and pieces the rows of a trigger come.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -24,14 +26,21 @@ def memory_state(messages: DataFrame, capacity: int) -> DataFrame:
         if state.exists:
             times, ids, sizes, forgotten = state.get
             held = list(zip(times, ids, sizes))
+        heapq.heapify(held)
+        total, gone = sum(m[2] for m in held), None
         for batch in batches:
-            held += list(zip(batch["valid_at"], batch["message_id"], batch["size"]))
-            held.sort(key=lambda m: (m[0], m[1]))
-            total, cut = sum(m[2] for m in held), 0
-            while total > capacity:
-                total -= held[cut][2]
-                cut += 1
-            held, forgotten = held[cut:], forgotten + cut
+            for message in zip(batch["valid_at"], batch["message_id"], batch["size"]):
+                # what is older than a forgotten message would have been forgotten before it
+                if gone is not None and message < gone:
+                    forgotten += 1
+                    continue
+                heapq.heappush(held, message)
+                total += message[2]
+                while total > capacity:
+                    gone = heapq.heappop(held)
+                    total -= gone[2]
+                    forgotten += 1
+        held.sort()
         state.update(([m[0] for m in held], [m[1] for m in held], [int(m[2]) for m in held], int(forgotten)))
         yield pd.DataFrame(
             {
