@@ -484,23 +484,28 @@ def retrieval(
     page_size: int = 10,
     threshold: float = 0.2,
     vector_weight: float = 0.3,
+    rank_feature: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rank the candidate window of every question and cut one page; returns (page rows, document facets).
+    """Rank a candidate window of every question and cut one page; returns (page rows, document facets).
 
-    ``total`` counts the rows over the threshold within the window, which the facets also describe.
+    The page lies in the window of first-stage ranks that holds its first row: later pages re-rank later windows, so
+    the pages of all windows cover every candidate once. ``rank`` counts within the window; ``total`` counts its
+    rows over the threshold, which the facets also describe. ``rank_feature`` is a column of ``chunks`` to add.
     """
     window = candidate_window(page_size)
     floor = threshold if vector_weight > 0 else 0.0
+    first = (page - 1) * page_size
+    passed = first // window * window
+    first -= passed
     candidates = filters.prune_orphans(
-        first_stage.filter(F.col("rank") <= window)
+        first_stage.filter((F.col("rank") > passed) & (F.col("rank") <= passed + window))
         .select("query_id", "chunk_id", "cosine")
         .join(chunks.select("chunk_id", "doc_id"), "chunk_id"),
         documents,
     ).drop("doc_id")
-    scored = rerank(candidates, chunks, features, 1 - vector_weight, vector_weight)
+    scored = rerank(candidates, chunks, features, 1 - vector_weight, vector_weight, rank_feature=rank_feature)
     valid = ordering.topk_per_query(scored.filter(F.col("similarity") >= floor), window, score="similarity")
     totals = valid.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
-    first = (page - 1) * page_size
     rows = valid.filter((F.col("rank") > first) & (F.col("rank") <= first + page_size)).join(totals, "query_id")
     facets = valid.groupBy("query_id", "doc_name").agg(
         F.count(F.lit(1)).alias("n"), F.min_by("doc_id", "rank").alias("doc_id")
