@@ -7,11 +7,14 @@ import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane.functions import scalars as sc
 from corvane.functions import text as tx
-from corvane.operators import chunking, cluster, filters, graph, graph_algorithms, joins, memory, ordering, retrieval, tables, tagging, terms
+from corvane.operators import aggregates, chunking, cluster, filters, graph, graph_algorithms, joins, memory, ordering, retrieval, tables, tagging, terms
 from corvane.operators.scans import running_total
+from corvane.sources import store
+from corvane.streaming import ingest
 
 
 def one(spark, column):
@@ -369,3 +372,64 @@ def test_pages_cover_every_row(spark):
         keyed += [r.id for r in rows]
         last = (rows[-1].s, rows[-1].id)
     assert keyed == seen
+
+
+def test_store_moves_keeps_ids_and_order(spark, tmp_path):
+    path = str(tmp_path / "chunks")
+    make = lambda rows: spark.createDataFrame(rows, "chunk_id string, dataset_id string, content string, version int")
+    store.write_chunks(make([("c1", "007", "old", 1), ("c2", "7", "x", 1), ("c3", "a/b", "y", 1)]), path, order="version")
+    store.write_chunks(make([("c1", "7", "moved", 2), ("c2", "7", "stale", 0), ("c4", None, "z", 1), ("c4", "q", "zz", 2)]), path, order="version", bucket_rows=1)
+    got = sorted((r.chunk_id, r.dataset_id, r.content) for r in store.read_chunks(spark, path).collect())
+    assert got == [("c1", "7", "moved"), ("c2", "7", "x"), ("c3", "a/b", "y"), ("c4", "q", "zz")]
+    assert [r.chunk_id for r in store.read_chunks(spark, path, ["007"]).collect()] == []
+    with pytest.raises(ValueError):
+        store.write_chunks(make([("c9", "7", "a", 1), ("c9", "7", "b", 1)]), path)
+
+
+def test_stream_upsert_keeps_late_and_newer_rows(spark, tmp_path):
+    schema = "chunk_id string, dataset_id string, content string, at timestamp"
+    days = [
+        [("a", "d", "first", "2024-01-10 00:00:00"), ("b", "d", "b", "2024-01-10 00:00:00")],
+        [("a", "d", "second", "2024-01-10 05:00:00"), ("late", "d", "new", "2024-01-01 00:00:00")],
+        [("b", "d", "too old", "2024-01-09 00:00:00")],
+    ]
+    for i, rows in enumerate(days):
+        spark.createDataFrame(rows, "chunk_id string, dataset_id string, content string, at string").selectExpr(
+            "chunk_id", "dataset_id", "content", "timestamp(at) AS at"
+        ).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+        stream = ingest.read_files(spark, str(tmp_path / "in/*"), T.StructType.fromDDL(schema))
+        ingest.idempotent_upsert(stream, str(tmp_path / "chunks"), str(tmp_path / "checkpoint"))
+    got = {r.chunk_id: r.content for r in store.read_chunks(spark, str(tmp_path / "chunks")).collect()}
+    assert got == {"a": "second", "b": "b", "late": "new"}
+
+
+def test_one_row_per_key_at_any_size(spark):
+    rows = spark.range(3000).selectExpr("'e' AS name", "'t' AS type", "concat('d', id) AS description", "cast(id % 5 AS string) AS source_id")
+    merged = aggregates.merge_entity_mentions(rows).collect()
+    assert len(merged) == 1 and len(merged[0].description.split("<SEP>")) == 3000 and merged[0].source_ids == list("01234")
+    records = spark.range(3000).selectExpr("1 AS g", "id AS ord", "map('k', array(cast(id AS string))) AS record")
+    combined = aggregates.combine_records(records, "g", "ord").collect()
+    assert len(combined) == 1 and combined[0]["values"] == [str(i) for i in range(3000)] and not combined[0].scalar
+
+
+def test_communities_settle(spark):
+    """A grid has few, balanced communities whatever its diameter, and no community is split for ever."""
+    cells = [(i, j) for i in range(8) for j in range(8)]
+    name = lambda c: f"{c[0]:02d}{c[1]:02d}"
+    edges = [(name(c), name((c[0] + a, c[1] + b)), 1.0) for c in cells for a, b in ((0, 1), (1, 0)) if c[0] + a < 8 and c[1] + b < 8]
+    df = spark.createDataFrame(edges, "src string, dst string, weight double")
+    top = graph_algorithms.communities(df, max_size=64).filter("level = 0").select("name", "community")
+    assert top.count() == 64 and 3 <= top.select("community").distinct().count() <= 12
+    assert graph_algorithms.modularity(df, top) > 0.5
+
+
+def test_pages_cover_every_candidate(spark):
+    hits = spark.range(200).selectExpr("'q' AS query_id", "cast(id AS string) AS chunk_id", "0.5D AS cosine", "cast(id + 1 AS int) AS rank")
+    chunks = spark.range(200).selectExpr("cast(id AS string) AS chunk_id", "'d' AS doc_id", "'n' AS doc_name", "array('w') AS tokens", "array('w') AS title_tokens")
+    documents = spark.createDataFrame([("d",)], "doc_id string")
+    features = spark.createDataFrame([("q", {"w": 1.0}, 1.0)], "query_id string, features map<string,double>, feature_total double")
+    seen = []
+    for page in range(1, 24):
+        rows, _ = retrieval.retrieval(hits, chunks, documents, features, page=page)
+        seen += [r.chunk_id for r in rows.collect()]
+    assert sorted(seen, key=int) == [str(i) for i in range(200)]
