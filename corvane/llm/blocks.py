@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 
@@ -106,14 +106,14 @@ class Texts:
 
 def texts(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Texts]:
     """The texts of a column in blocks of about ``limit`` bytes."""
-    column = column.cast(pa.large_string()).fill_null("")
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+    if column.null_count:
+        column = column.fill_null("")
     n = len(column)
     if not n:
         return
     _, offsets, raw = column.buffers()
-    bounds = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + n + 1]
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    bounds = np.frombuffer(offsets, dtype=kind)[column.offset : column.offset + n + 1].astype(np.int64)
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
     first = 0
     while first < n:
@@ -135,7 +135,8 @@ def signed(hashes: np.ndarray) -> np.ndarray:
 def join_texts(docs: DataFrame, named: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``key`` and ``text`` joined to ``named`` by ``key``; the texts cross the shuffle compressed.
 
-    A text of prose takes about two thirds of the bytes that Spark's own block compression leaves.
+    A text of prose takes about two thirds of the bytes that Spark's own block compression leaves. Null texts come back
+    empty.
     """
     kind = dict(docs.dtypes)[key]
     rest = [f for f in named.schema.fields if f.name != key]
@@ -143,17 +144,22 @@ def join_texts(docs: DataFrame, named: DataFrame, key: str) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=1)
         for batch in batches:
-            raw = [None if t is None else t.encode() for t in batch.column(1).to_pylist()]
-            blobs = [None if t is None else codec.compress(t, asbytes=True) for t in raw]
-            sizes = [None if t is None else len(t) for t in raw]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary()), pa.array(sizes, pa.int64())], names=[key, "blob", "bytes"])
+            for part in texts(batch.column(1)):
+                raw = part.data.tobytes()
+                blobs = [codec.compress(raw[a:b], asbytes=True) for a, b in zip(part.bounds[:-1], part.bounds[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(part.first, len(part)), pa.array(blobs, pa.binary()), pa.array(np.diff(part.bounds))], names=[key, "blob", "bytes"]
+                )
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
         for batch in batches:
-            blobs, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            raw = [None if b is None else codec.decompress(b, n, asbytes=True).decode() for b, n in zip(blobs, sizes)]
-            yield pa.RecordBatch.from_arrays([pa.array(raw, pa.string()), *batch.columns[2:]], names=["text", *batch.schema.names[2:]])
+            sizes = batch.column(1).to_numpy()
+            cuts = np.unique(np.cumsum(sizes) // BLOCK_BYTES, return_index=True)[1].tolist() + [len(sizes)]
+            for first, last in zip(cuts[:-1], cuts[1:]):
+                part = batch.slice(first, last - first)
+                raw = [codec.decompress(b.as_buffer(), int(n), asbytes=True) for b, n in zip(part.column(0), sizes[first:last])]
+                yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()).cast(pa.string()), *part.columns[2:]], names=["text", *part.schema.names[2:]])
 
     packed = docs.select(key, "text").mapInArrow(pack, f"{key} {kind}, blob binary, bytes bigint")
     joined = packed.join(named, key).select("blob", "bytes", key, *[f.name for f in rest])
