@@ -88,8 +88,11 @@ def levels(window: int, first: int) -> list[int]:
 
 
 def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
-    """The rows ``(d, pos, *by)`` whose ``by`` occurs twice or more, as one list of places per text."""
-    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*by)
+    """The rows ``(d, pos, *by)`` whose ``by`` occurs twice or more, as one list of places per text.
+
+    The repeated values are written first, so that the join meets two plain sides and can split a frequent value.
+    """
+    counts = cut_lineage(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*by))
     return rows.join(counts, by, "left_semi").groupBy("d").agg(F.collect_set("pos").alias("places"))
 
 
