@@ -11,17 +11,18 @@ from corvane.llm import blocks
 from corvane.session import cut_lineage
 
 PARTNERS = 1000  # pairs of one hub that are checked together; more are dealt over several salts
+BLOCK_ITEMS = 512  # items of a block that meet another block in one task
 
 
 def bucket_members(items: DataFrame) -> DataFrame:
     """``(band, item, size, low)`` of the buckets that hold two different items or more; ``low`` is the smallest one.
 
     ``items`` has ``item, size, bands``. Copies of an item count once. The smallest and largest item of a bucket are
-    found with map-side sums, so a bucket of any size is safe.
+    found with map-side sums and written, so that the join meets two plain sides and can split a large bucket.
     """
     rows = items.select(F.explode("bands").alias("band"), "item", "size")
     shared = rows.groupBy("band").agg(F.min("item").alias("low"), F.max("item").alias("high")).filter("low < high")
-    return cut_lineage(rows.join(shared.select("band", "low"), "band").distinct())
+    return cut_lineage(rows.join(cut_lineage(shared.select("band", "low")), "band").repartition("item", "band").distinct())
 
 
 def hub_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -38,19 +39,72 @@ def _sizes_fit(x: str, y: str, percent: int):
     return F.least(F.col(x), F.col(y)) * 100 >= F.greatest(F.col(x), F.col(y)) * percent
 
 
-def open_pairs(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of one bucket that lie in different groups.
-
-    A pair with both ends in the largest group of its bucket needs no check, so each item outside meets the others of
-    its bucket, and a bucket that is one group already meets nothing.
-    """
+def mixed_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(band, item, size, group, main)`` of the buckets that hold items of two groups or more; ``main`` is the largest."""
     labelled = members.select("band", "item", "size").join(groups, "item", "left").withColumn("group", F.coalesce("group", "item"))
     parts = labelled.groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"))
     mixed = parts.groupBy("band").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    left = cut_lineage(labelled.join(mixed.select("band", "main"), "band"))
-    out = left.filter("group <> main").select("band", F.col("item").alias("x"), F.col("size").alias("x_size"), F.col("group").alias("x_group"))
-    met = out.join(left, "band").filter("group <> x_group and (group = main or item > x)").filter(_sizes_fit("size", "x_size", percent))
-    return met.select(F.least("x", "item").alias("a"), F.greatest("x", "item").alias("b")).distinct()
+    return cut_lineage(labelled.join(cut_lineage(mixed.select("band", "main")), "band"))
+
+
+def _meet(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all sets of a block, as a matrix."""
+    n = len(bounds) - 1
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    _, column, counts = np.unique(values, return_inverse=True, return_counts=True)
+    met = np.zeros((n, n), dtype=np.float32)
+    often = counts >= 8
+    name = np.cumsum(often) - 1
+    for first in range(0, int(often.sum()), 2048):  # frequent values: products of slices of the membership matrix
+        chosen = often[column] & (name[column] >= first) & (name[column] < first + 2048)
+        part = np.zeros((n, 2048), dtype=np.float32)
+        part[owner[chosen], name[column[chosen]] - first] = 1
+        met += part @ part.T
+    rare = (counts[column] > 1) & ~often[column]
+    order = np.argsort(column[rare], kind="stable")
+    column, owner = column[rare][order], owner[rare][order]
+    for step in range(1, 8):  # rare values: their few holders in turn
+        same = np.flatnonzero(column[step:] == column[:-step])
+        np.add.at(met, (owner[same], owner[same + step]), 1)
+        np.add.at(met, (owner[same + step], owner[same]), 1)
+    return met
+
+
+def check_clouds(mixed: DataFrame, groups: DataFrame, texts: DataFrame, shingles, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that join the groups which still share buckets.
+
+    Items that a chain of such buckets connects are a cloud. A cloud is dealt over blocks of about ``BLOCK_ITEMS`` items, and
+    each two blocks meet in one task, which compares all their sets by exact intersection and gives one link per item
+    to the smallest one it is connected with there. So an item moves once per block of its cloud, pairs are never
+    rows, and a task holds two blocks.
+    """
+    lows = cut_lineage(mixed.groupBy("band").agg(F.min("item").alias("low")))
+    edges = mixed.join(lows, "band").filter("item <> low").select(F.col("low").alias("a"), F.col("item").alias("b")).distinct()
+    clouds = union_find(edges).withColumnRenamed("group", "cloud")
+    sizes = cut_lineage(clouds.groupBy("cloud").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ITEMS).cast("int").alias("blocks")))
+    placed = clouds.join(sizes, "cloud").withColumn("own", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
+    placed = placed.join(groups, "item", "left").withColumn("group", F.coalesce("group", "item"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(texts, "item")
+    dealt = dealt.select("cloud", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "item", "group", "text")
+
+    def compare(table: pa.Table) -> pa.Table:
+        values, bounds = zip(*[shingles(part) for part in blocks.texts(table.column("text").combine_chunks())])
+        lengths = np.concatenate([np.diff(b) for b in bounds])
+        met = _meet(np.concatenate(values), np.concatenate([[0], np.cumsum(lengths)]))
+        linked = 100 * met.astype(np.int64) >= percent * (lengths[:, None] + lengths[None, :] - met.astype(np.int64))
+        item, group = table.column("item").to_numpy(), table.column("group").to_numpy()
+        linked |= group[:, None] == group[None, :]
+        label = np.arange(len(item))
+        while True:  # the smallest place that a chain of links reaches
+            low = np.where(linked, label[None, :], len(item)).min(axis=1)
+            low = low[low]
+            if np.array_equal(low, label):
+                break
+            label = low
+        moved = group != group[label]
+        return pa.table({"a": item[label[moved]], "b": item[moved]})
+
+    return dealt.groupBy("cloud", "x", "y").applyInArrow(compare, "a bigint, b bigint")
 
 
 def check_pairs(pairs: DataFrame, texts: DataFrame, shingles, percent: int) -> DataFrame:
@@ -122,17 +176,16 @@ def link_items(items: DataFrame, texts_of, shingles, percent: int) -> DataFrame:
     """Groups ``(item, group)`` of the items linked by a chain of pairs that share ``percent`` of their union.
 
     ``items`` has ``item``, ``size`` (of its set) and ``bands``; copies may repeat. ``texts_of(wanted)`` gives
-    ``(item, text)`` for a table of items, and ``shingles`` the sets of a block of texts. First every item is checked against one hub, which settles most copies;
-    then all pairs that share a bucket and are still in different groups. Together this decides every pair that shares
-    a bucket.
+    ``(item, text)`` for a table of items, and ``shingles`` the sets of a block of texts. First every item is checked
+    against one hub, which settles most copies. Then the buckets that still hold several groups are compared in full
+    by :func:`check_clouds`, so every pair that shares a bucket is decided.
     """
     members = bucket_members(items)
     texts = cut_lineage(texts_of(members.select("item").distinct()))
-    first = cut_lineage(hub_pairs(members, percent))
-    links = cut_lineage(check_pairs(first, texts, shingles, percent))
+    links = cut_lineage(check_pairs(hub_pairs(members, percent), texts, shingles, percent))
     groups = union_find(links)
-    rest = cut_lineage(open_pairs(members, groups, percent).join(first, ["a", "b"], "left_anti"))
-    if rest.limit(1).count() == 0:
+    mixed = mixed_buckets(members, groups)
+    more = cut_lineage(check_clouds(mixed, groups, texts, shingles, percent))
+    if more.limit(1).count() == 0:
         return groups
-    more = cut_lineage(check_pairs(rest, texts, shingles, percent))
     return union_find(links.unionByName(more))

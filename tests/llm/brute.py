@@ -65,12 +65,12 @@ def repeats(rows, window=35):
     return sorted(out)
 
 
-def line_sets(line, width=9):
+def line_sets(line, width=6):
     raw = line.encode()
     return {raw[i : i + width] for i in range(max(1, len(raw) - width + 1))}
 
 
-def fuzzy_lines(rows, percent=85, min_bytes=32):
+def fuzzy_lines(rows, percent=75, min_bytes=32):
     """{(doc_id, line): (first_key, first_line)}"""
     lines = {}
     for i, text in rows:
