@@ -27,12 +27,65 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query("op2_quality_divergence")
+CLASS_SQL = ", ".join(
+    f"length(r{i}) - length(r{i + 1}) AS c{i}" for i in range(len(quality.CLASSES))
+)
+REST_SQL = " ".join(
+    f", x{i + 1} AS (SELECT *, regexp_replace(r{i}, '{pattern.replace(chr(39), chr(39) * 2)}', '', 'g') AS r{i + 1} FROM x{i})"
+    for i, pattern in enumerate(quality.CLASSES.values())
+)
+BINS = len(quality.KINDS)
+
+
+def _half_sql(p: str, q: str) -> str:
+    part = lambda x: f"CASE WHEN {x} > 0 THEN {x} * log2({x} / ((({p}) + ({q})) / 2)) ELSE 0 END"
+    return f"(({part(f'({p})')}) + ({part(f'({q})')})) / 2"
+
+
+@query(
+    "op2_quality_divergence",
+    f"""
+    WITH x AS (
+        SELECT doc_id, coalesce(lang, '') AS ref, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+    ), x0 AS (SELECT *, array_to_string(words, '') AS r0 FROM x) {REST_SQL}
+    , tri AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS n
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM x)
+    ), again AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat FROM tri, (VALUES (0), (1), (2)) AS t(k) WHERE n > 1 GROUP BY doc_id
+    ), c AS (
+        SELECT x{BINS - 1}.doc_id, ref, len(words) AS n_words, length(r0) AS chars, {CLASS_SQL}, length(r{BINS - 1}) AS c{BINS - 1}, coalesce(n_repeat, 0) AS n_repeat,
+            list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+        FROM x{BINS - 1} LEFT JOIN again USING (doc_id)
+    ), s AS (
+        SELECT ref, sum(n_words) AS all_words, sum(chars) AS all_chars, {", ".join(f"sum(c{i}) AS s{i}" for i in range(BINS))} FROM c GROUP BY ref
+    ), tokens AS (
+        SELECT doc_id, ref, lower(w) AS word FROM (SELECT doc_id, ref, unnest(words) AS w FROM x) WHERE length(w) <= 7
+    ), top AS (
+        SELECT ref, word, n / all_words AS q
+        FROM (SELECT ref, word, count(*) AS n, row_number() OVER (PARTITION BY ref ORDER BY count(*) DESC, word) AS place FROM tokens GROUP BY ref, word)
+        JOIN s USING (ref) WHERE place <= 48
+    ), hits AS (
+        SELECT doc_id, sum(d) AS div, sum(p) AS hit FROM (
+            SELECT doc_id, p, {_half_sql("p", "q")} - q / 2 AS d
+            FROM (SELECT doc_id, t.q, count(*) / any_value(n_words) AS p FROM tokens k JOIN top t USING (ref, word) JOIN c USING (doc_id) GROUP BY doc_id, word, t.q)
+        ) GROUP BY doc_id
+    ), held AS (SELECT ref, sum(q) AS held FROM top GROUP BY ref
+    ), judged AS (
+        SELECT c.*, sqrt(greatest(0, coalesce(div, 0) + coalesce(held, 0) / 2 + {_half_sql("greatest(0, 1 - coalesce(hit, 0))", "greatest(0, 1 - coalesce(held, 0))")})) AS words_far,
+            CASE WHEN chars >= 100 THEN sqrt(greatest(0, {" + ".join(_half_sql(f"c{i} / chars", f"s{i} / all_chars") for i in range(BINS))})) ELSE 0 END AS chars_far,
+            n_words < 50 OR 100 * n_repeat > 50 * n_words AS base_failed
+        FROM c JOIN s USING (ref) LEFT JOIN held USING (ref) LEFT JOIN hits USING (doc_id)
+    )
+    SELECT doc_id, n_words::BIGINT AS n_words, chars::BIGINT AS word_chars, c6::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        n_repeat::BIGINT AS n_repeat_words, base_failed,
+        NOT base_failed AND chars_far <= 0.34 AND (n_words < 80 OR words_far <= 0.31 + 0.9 / sqrt(greatest(1, n_words))) AS kept
+    FROM judged
+    """,
+)
 def op2_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, folder, "documents"))
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"
-    )
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 # The level of the SQL is the first one, by size per weight, at which the next source is not yet full; later ones are lower.
