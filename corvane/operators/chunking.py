@@ -9,9 +9,12 @@ kinds) in an Arrow function and answers with a group number per piece, and piece
 from __future__ import annotations
 
 import json
+import math
 import re
+from collections import Counter
 from collections.abc import Callable, Sequence
 from html.parser import HTMLParser
+from itertools import accumulate, groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -161,27 +164,28 @@ def merge_adjacent(items: DataFrame, size: int, overlap: int = 0, key: str = "do
 
     The overlap taken from the previous chunk counts in the new chunk's size.
     """
-    threshold = size * (100 - overlap) / 100.0
     out = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("content", T.StringType())]))
+    limit, kept = size * (100 - overlap) / 100.0, (100 - overlap) / 100.0
+    count = lambda s: len(re.findall(r"\w+|[^\w\s]", s))
 
-    def merge(kinds, texts):
-        result, run, tokens = [], None, 0
-        for kind, content in zip(kinds, texts):
-            n = len(re.findall(r"\w+|[^\w\s]", content))
-            if kind != "text":
-                result.append([kind, content])
-                run = None
-            elif run is not None and tokens <= threshold:
-                glue = "\n" if run[1] and content else ""
-                run[1] += glue + content
-                tokens += n
+    def packed(texts: list[str]) -> list[str]:
+        """The texts of one run in chunks; sizes of pieces that join are added up, as the pieces are counted alone."""
+        chunks, held = [], math.inf
+        for piece in texts:
+            if held > limit:
+                lead = chunks[-1][int(len(chunks[-1]) * kept) :] if chunks and overlap else ""
+                chunks.append(lead + piece)
+                held = count(chunks[-1])
             else:
-                if run is not None and overlap:
-                    content = run[1][int(len(run[1]) * (100 - overlap) / 100.0):] + content
-                    n = len(re.findall(r"\w+|[^\w\s]", content))
-                run, tokens = [kind, content], n
-                result.append(run)
-        return [{"kind": k, "content": c} for k, c in result]
+                chunks[-1] = "\n".join(s for s in (chunks[-1], piece) if s)
+                held += count(piece)
+        return chunks
+
+    def merge(kinds, texts):
+        rows = []
+        for alone, run in groupby(zip(kinds, texts), key=lambda e: e[0] != "text"):
+            rows += list(run) if alone else [("text", content) for content in packed([t for _, t in run])]
+        return [{"kind": k, "content": c} for k, c in rows]
 
     merged = _per_row(merge, out)(
         F.transform("items", lambda i: i["kind"]), F.transform("items", lambda i: i["text"])
@@ -244,26 +248,28 @@ def title_levels(lines: Column, family: Column, families: Sequence[Sequence[str]
     return F.transform(lines, level)
 
 
+def _split_level(levels, nth: int | None):
+    """The level that starts sections: the ``nth`` of those in use, or the one used most (ties: the one seen first)."""
+    titles = [level for level in levels if level < BODY]
+    if nth:
+        return sorted(set(titles))[:nth][-1] if titles else None
+    return Counter(titles).most_common(1)[0][0] if titles else None
+
+
 def _section_groups(levels, sizes, nth: int | None) -> list[int]:
-    titles = [lv for lv in levels if lv < BODY]
-    if not titles:
-        target = None
-    elif nth:
-        distinct = sorted(set(titles))
-        target = distinct[min(nth, len(distinct)) - 1]
-    else:
-        target = max(dict.fromkeys(titles), key=titles.count)
-    out, group, held, section, last = [], -1, 0, 0, None
-    for i, (level, size) in enumerate(zip(levels, sizes)):
-        section += bool(target is not None and i and level <= target)
-        if size < 0:
-            out.append(-1)
-            continue
-        joins = group >= 0 and (held < SECTION_MIN_TOKENS or (held < SECTION_MAX_TOKENS and section == last))
-        group, held = (group, held + size) if joins else (group + 1, size)
-        last = section
-        out.append(group)
-    return out
+    """Group of each line, -1 for lines left out. A line joins the open group while that is small, or while it is not
+    full and the section is still the same."""
+    head = _split_level(levels, nth)
+    sections = list(accumulate(int(i > 0 and head is not None and level <= head) for i, level in enumerate(levels)))
+    lines = [i for i, size in enumerate(sizes) if size >= 0]
+    groups = dict.fromkeys(range(len(sizes)), -1)
+    held = 0
+    for before, line in zip([None, *lines], lines):
+        full = SECTION_MAX_TOKENS if before is not None and sections[before] == sections[line] else SECTION_MIN_TOKENS
+        opens = before is None or held >= full
+        groups[line] = (0 if before is None else groups[before]) + (opens and before is not None)
+        held = sizes[line] if opens else held + sizes[line]
+    return [groups[i] for i in range(len(sizes))]
 
 
 def _leaf_paths(levels, nth: int, with_bodies: bool) -> list[list[int]]:
@@ -339,24 +345,23 @@ def chunk_by_titles(
 
 
 def _after_contents(lines, english: bool) -> list[int]:
-    """Numbers of the lines that stay when contents lists are cut out."""
-    kept = [(i, str(s).strip()) for i, s in enumerate(lines)]
-    head = lambda s: " ".join(s.split()[:2]) if english else s[:3]
-    at = 0
-    while at < len(kept):
-        if not re.match(CONTENTS_TITLE, re.sub(r"[ 　]+", "", kept[at][1]).lower()):
-            at += 1
+    """Numbers of the lines outside contents lists.
+
+    A list reaches from its title over its first entry up to the next line, however far, that begins as the entry does;
+    without such a line only title and entry go, and without an entry all that follows the title.
+    """
+    texts = [str(line).strip() for line in lines]
+    begins = [" ".join(text.split()[:2]) if english else text[:3] for text in texts]
+    titles = [i for i, text in enumerate(texts) if re.match(CONTENTS_TITLE, re.sub(r"[ \u3000]+", "", text).lower())]
+    cut, upto = set(), 0
+    for title in titles:
+        if title < upto:
             continue
-        del kept[at]
-        while at < len(kept) and not head(kept[at][1]):
-            del kept[at]
-        if at >= len(kept):
-            break
-        prefix = head(kept[at][1])
-        del kept[at]
-        again = next((j for j in range(at, min(at + 128, len(kept))) if kept[j][1].startswith(prefix)), at)
-        del kept[at:again]
-    return [i for i, _ in kept]
+        entry = next((i for i in range(title + 1, len(texts)) if begins[i]), len(texts))
+        again = (i for i in range(entry + 1, len(texts)) if texts[i].startswith(begins[entry]))
+        upto = next(again, entry + 1) if entry < len(texts) else entry
+        cut.update(range(title, upto))
+    return [i for i in range(len(texts)) if i not in cut]
 
 
 def drop_contents_pages(docs: DataFrame, english: bool = True, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -444,19 +449,22 @@ def html_to_sections(pages: DataFrame, size: int = 512, key: str = "page_id", ht
     kind = pages.schema[key].dataType.simpleString()
     staged = pages.select(key, html).mapInPandas(blocks, f"{key} {kind}, texts array<string>, tables array<string>")
     words = lambda s: F.size(tx.words(s))
+    # a slice of a longer block counts as full, so it stays alone and the next block starts afresh
+    piece = lambda text, n: F.struct(text.alias("text"), n.cast("int").alias("n"))
     cut = F.flatten(
         F.transform(
             "texts",
-            lambda s: F.when(words(s) <= size, F.array(s)).otherwise(
+            lambda s: F.when(words(s) <= size, F.array(piece(s, words(s)))).otherwise(
                 F.transform(
                     F.sequence(F.lit(0), F.floor((F.greatest(words(s), F.lit(1)) - 1) / size).cast("int")),
-                    lambda n: F.array_join(F.slice(tx.words(s), n * size + 1, F.lit(size)), " "),
+                    lambda n: piece(F.array_join(F.slice(tx.words(s), n * size + 1, F.lit(size)), " "), F.lit(size)),
                 )
             ),
         )
     )
-    pieces = staged.select(key, cut.alias("pieces"), "tables")
-    counted = pieces.withColumn("groups", pack_groups(F.transform("pieces", words), size))
+    pieces = staged.select(key, cut.alias("cut"), "tables")
+    pieces = pieces.select(key, F.col("cut.text").alias("pieces"), F.col("cut.n").alias("sizes"), "tables")
+    counted = pieces.withColumn("groups", pack_groups(F.col("sizes"), size))
     chunks = gather(counted, key, "pieces", "groups", "\n")
     tables = staged.select(key, F.posexplode("tables").alias("chunk", "content")).withColumn("kind", F.lit("table"))
     return chunks.withColumn("kind", F.lit("text")).unionByName(tables)

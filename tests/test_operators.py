@@ -433,3 +433,12 @@ def test_pages_cover_every_candidate(spark):
         rows, _ = retrieval.retrieval(hits, chunks, documents, features, page=page)
         seen += [r.chunk_id for r in rows.collect()]
     assert sorted(seen, key=int) == [str(i) for i in range(200)]
+
+
+def test_slices_of_a_long_block_stay_alone(spark):
+    html = "<body><p>" + "w " * 11 + "</p><p>tail block</p><p>more</p></body>"
+    rows = chunking.html_to_sections(spark.createDataFrame([(1, html)], "page_id int, html string"), 6).orderBy("chunk").collect()
+    assert [r.content for r in rows] == ["w w w w w w", "w w w w w", "tail block\nmore"]
+    far = "Contents\nAlpha one 1\n" + "\n".join(f"Entry {i} {i}" for i in range(300)) + "\nAlpha one\nbody"
+    cut = chunking.drop_contents_pages(spark.createDataFrame([(1, far)], "doc_id int, text string")).first()["content"]
+    assert cut == "Alpha one\nbody"
