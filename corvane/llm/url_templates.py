@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from corvane.session import cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ANY = "{*}"
+STEPS = 8  # rounds of one segment each before shared stretches are looked for
 
 
 def host_of(url: Column) -> Column:
@@ -34,17 +36,21 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return rule, verdict
 
 
+def _rest(segments: Column) -> Column:
+    """All but the first of an array that is not empty."""
+    return F.slice(segments, F.lit(2), F.size(segments) - 1)
+
+
 def _shape(segment: Column) -> Column:
     """A segment with its runs of digits, and then long runs of letters, as wildcards."""
     return F.regexp_replace(F.regexp_replace(segment, "[0-9]+", "{#}"), "\\p{L}{12,}", "{a}")
 
 
-def _keep(rows: DataFrame, column: str, min_rows: int, min_share: float) -> DataFrame:
-    """The values of ``column`` that are frequent enough under their node to stand for themselves."""
+def _keep(rows: DataFrame, column: str, min_rows: int) -> DataFrame:
+    """The values of ``column`` with enough rows under their node to stand for themselves, whatever their share of it."""
     counts = rows.groupBy("host", "node", column).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("host", "node").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("children"))
-    few = (F.col("n") >= min_rows) & (F.col("n") >= F.col("all") * min_share)
-    kept = counts.join(totals, ["host", "node"]).filter(few | (F.col("children") == 1))
+    totals = counts.groupBy("host", "node").agg(F.count(F.lit(1)).alias("children"))
+    kept = counts.join(totals, ["host", "node"]).filter((F.col("n") >= min_rows) | (F.col("children") == 1))
     return kept.select("host", "node", column, F.lit(True).alias(f"_{column}"))
 
 
@@ -56,7 +62,7 @@ def _alike(rows: DataFrame, z: float) -> DataFrame:
     bad shares in standard errors. So the work is in proportion to the branches, and no two are paired. A branch without
     like ones stays.
     """
-    below = F.coalesce(_shape(F.get("segments", F.col("depth"))), F.lit("{end}"))
+    below = F.coalesce(_shape(F.get("segments", F.lit(1))), F.lit("{end}"))
     cells = rows.groupBy("host", "node", "token", below.alias("below")).agg(F.count(F.lit(1)).alias("n"), F.sum("labelled").alias("seen"), F.sum("bad").alias("bad"))
     # branches are held against those whose most frequent next shape is the same
     leading = cells.groupBy("host", "node", "token").agg(F.max_by("below", F.struct("n", "below")).alias("kind"))
@@ -80,16 +86,29 @@ def _alike(rows: DataFrame, z: float) -> DataFrame:
     return tested.filter((F.col("branches") > 1) & same).select("host", "node", "token", F.lit(True).alias("_alike"))
 
 
-def path_templates(
-    pages: DataFrame, labels: DataFrame, key: str, url: str, max_depth: int = 8, min_rows: int = 5, min_share: float = 0.02, z: float = 3.0
-) -> DataFrame:
+def _skip_shared(rows: DataFrame) -> DataFrame:
+    """``rows`` moved past the segments that all open rows of their node share, as rounds would do one by one.
+
+    A segment without siblings stays as it is. What the smallest and the largest path begin with, all in between do.
+    """
+    ends = rows.groupBy("host", "node").agg(F.min("segments").alias("low"), F.max("segments").alias("high"))
+    parted = F.array_position(F.zip_with("low", "high", lambda a, b: a.eqNullSafe(b)), False).cast("int")
+    shared = ends.select("host", "node", F.when(parted == 0, F.size("low")).otherwise(parted - 1).alias("n")).filter("n > 0")
+    joined = cut_lineage(rows.join(shared, ["host", "node"], "left"))
+    path = F.concat("node", F.lit("/"), F.array_join(F.slice("segments", F.lit(1), F.col("n")), "/"))
+    rest = F.slice("segments", F.col("n") + 1, F.greatest(F.lit(0), F.size("segments") - F.col("n")))
+    moved = {"node": F.when(F.col("n") > 0, path).otherwise(F.col("node")), "segments": F.when(F.col("n") > 0, rest).otherwise(F.col("segments"))}
+    return joined.withColumns(moved).select(*rows.columns)
+
+
+def path_templates(pages: DataFrame, labels: DataFrame, key: str, url: str, min_rows: int = 5, z: float = 3.0) -> DataFrame:
     """All rows of ``pages`` as ``key, host, path, labelled, bad, template``.
 
-    The tree of a host grows by one path segment a round. A segment that holds fewer than ``min_rows`` rows or
-    ``min_share`` of its node is variable and becomes its shape (``{#}`` for digits, ``{a}`` for long words), and a
-    shape that is rare too becomes ``{*}``. Then branches of a node that are statistically alike become one.
-    Segments beyond ``max_depth`` are not looked at. ``labels`` has ``key`` and ``bad`` (0 or 1; a page is bad if any
-    of its labels is).
+    The tree of a host grows by one path segment a round, down to the deepest path. A segment that holds fewer than
+    ``min_rows`` rows of its node is variable and becomes its shape (``{#}`` for digits, ``{a}`` for long words), and a
+    shape that is rare too becomes ``{*}``. Then branches of a node that are statistically alike become one. After
+    ``STEPS`` rounds, stretches without a branching are passed at once, so rounds grow with the branchings on a path.
+    ``labels`` has ``key`` and ``bad`` (0 or 1; a page is bad if any of its labels is).
     """
     known = labels.filter(F.col(key).isNotNull() & F.col("bad").isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max("bad").cast("bigint").alias("bad"))
     rows = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
@@ -98,23 +117,31 @@ def path_templates(
         {
             "labelled": F.col("bad").isNotNull().cast("bigint"),
             "bad": F.coalesce("bad", F.lit(0).cast("bigint")),
-            "segments": F.when(F.length("path") > 0, F.slice(F.split("path", "/"), 2, max_depth)).otherwise(F.array().cast("array<string>")),
+            "segments": F.when(F.length("path") > 0, _rest(F.split("path", "/"))).otherwise(F.array().cast("array<string>")),
             "node": F.lit(""),
         }
     )
-    rows = cut_lineage(rows)
-    deepest = rows.agg(F.max(F.size("segments"))).first()[0] or 0
-    for depth in range(1, deepest + 1):
-        ended = rows.filter(F.size("segments") < depth)
-        open_ = rows.filter(F.size("segments") >= depth).withColumns({"segment": F.get("segments", F.lit(depth - 1)), "depth": F.lit(depth)})
-        open_ = open_.join(_keep(open_, "segment", min_rows, min_share), ["host", "node", "segment"], "left")
+    rows, done, rounds = cut_lineage(rows), [], 0
+    while True:
+        done.append(rows.filter(F.size("segments") == 0))
+        open_ = rows.filter(F.size("segments") > 0)
+        if open_.limit(1).count() == 0:
+            break
+        rounds += 1
+        if rounds > STEPS:
+            moved = cut_lineage(_skip_shared(open_))
+            done.append(moved.filter(F.size("segments") == 0))
+            open_ = moved.filter(F.size("segments") > 0)
+        open_ = open_.withColumn("segment", F.get("segments", F.lit(0)))
+        open_ = open_.join(_keep(open_, "segment", min_rows), ["host", "node", "segment"], "left")
         open_ = cut_lineage(open_.withColumn("shape", F.when(F.col("_segment"), F.col("segment")).otherwise(_shape(F.col("segment")))))
-        open_ = open_.join(_keep(open_, "shape", min_rows, min_share), ["host", "node", "shape"], "left")
+        open_ = open_.join(_keep(open_, "shape", min_rows), ["host", "node", "shape"], "left")
         open_ = cut_lineage(open_.withColumn("token", F.when(F.col("_shape"), F.col("shape")).otherwise(F.lit(ANY))))
         open_ = open_.join(_alike(open_, z), ["host", "node", "token"], "left")
         token = F.when(F.col("_alike"), F.lit(ANY)).otherwise(F.col("token"))
-        open_ = open_.withColumn("node", F.concat("node", F.lit("/"), token))
-        rows = cut_lineage(ended.unionByName(open_.select(*ended.columns)))
+        open_ = open_.withColumns({"node": F.concat("node", F.lit("/"), token), "segments": _rest(F.col("segments"))})
+        rows = cut_lineage(open_.select(*rows.columns))
+    rows = reduce(DataFrame.unionByName, done)
     return rows.select("key", "host", "path", "labelled", "bad", F.col("node").alias("template"))
 
 

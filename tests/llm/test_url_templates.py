@@ -60,3 +60,20 @@ def test_purity(tree):
     rows = judge_urls(*tree).collect()
     assert len(rows) == tree[0].count()
     assert {(r.template, r.verdict) for r in rows} == {("/{*}/{#}.html", "allow"), ("/tag/buy{#}", "block"), ("/only/page", "allow")}
+
+
+def test_small_share_and_deep_paths(spark):
+    """A directory keeps its template at any share of its node, and paths differ at any depth."""
+    deep = "/".join(f"s{i}" for i in range(8))
+    urls = [(f"http://dirs.net/d{i % 60}/{i * 7919}.html", i % 60 == 7) for i in range(1200)]
+    urls += [(f"http://deep.net/{deep}/{('good', 'bad')[i % 2]}/{i * 7919}", bool(i % 2)) for i in range(60)]
+    stretch = "/".join(["t"] * 300)
+    urls += [(f"http://long.net/{stretch}/{('good', 'bad')[i % 2]}/{stretch}", bool(i % 2)) for i in range(60)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, int(b)) for i, (_, b) in enumerate(urls)], "page_id bigint, bad int")
+    got = {(r.host, r.template, r.verdict) for r in judge_urls(pages, labels).collect()}
+    assert got == {
+        ("dirs.net", "/{*}/{#}.html", "allow"), ("dirs.net", "/d7/{#}.html", "block"),
+        ("deep.net", f"/{deep}/good/{{#}}", "allow"), ("deep.net", f"/{deep}/bad/{{#}}", "block"),
+        ("long.net", f"/{stretch}/good/{stretch}", "allow"), ("long.net", f"/{stretch}/bad/{stretch}", "block"),
+    }
