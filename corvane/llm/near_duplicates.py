@@ -54,6 +54,7 @@ def fast_similarity_sketch(values: np.ndarray, bounds: np.ndarray, bins: int) ->
     sketch = np.full(n * bins, NONE, dtype=np.uint64)
     owner = np.repeat(np.arange(n), sizes)
     open_values, open_owner = values, owner
+    left = np.ones(n, dtype=bool)  # sets whose bins are not all full
     for turn in range(2 * bins):
         if not len(open_values):
             break
@@ -61,9 +62,10 @@ def fast_similarity_sketch(values: np.ndarray, bounds: np.ndarray, bins: int) ->
         place = (hashed >> np.uint64(40)).astype(np.int64) % bins if turn < bins else np.full(len(hashed), turn - bins)
         value = (np.uint64(turn) << np.uint64(40)) | (hashed & np.uint64((1 << 40) - 1))
         np.minimum.at(sketch, open_owner * bins + place, value)
-        full = (sketch.reshape(n, bins) != NONE).all(axis=1)
-        left = ~full[open_owner]
-        open_values, open_owner = open_values[left], open_owner[left]
+        rest = np.flatnonzero(left)
+        left[rest] = (sketch.reshape(n, bins)[rest] == NONE).any(axis=1)
+        more = left[open_owner]
+        open_values, open_owner = open_values[more], open_owner[more]
     return sketch.reshape(n, bins)
 
 

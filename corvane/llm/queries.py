@@ -157,7 +157,7 @@ def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_fuzzy_lines")
 def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.fuzzy_lines(table(spark, folder, "documents"))
+    return lines.fuzzy_lines(table(spark, folder, "documents"), min_bytes=lines.WIDTH)
 
 
 @query("op6_sampled_pieces")

@@ -6,6 +6,7 @@ import pytest
 
 from corvane.llm.lines import drop_lines, fuzzy_lines
 from corvane.llm.near_duplicates import near_duplicates
+from corvane.llm.queries import QUERIES
 from corvane.llm.repeats import repeated_passages
 
 from . import brute
@@ -100,6 +101,26 @@ def test_fuzzy_lines_of_a_table(tables):
     check_lines(docs.filter("doc_id < 60"), [r for r in rows if r[0] < 60])
 
 
+def test_every_pair_at_the_threshold(make):
+    """Pairs of lines at a similarity of 73/97, each without any other line that is alike."""
+    draw = random.Random(9)
+    rows = []
+    for i in range(400):
+        line = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=90))
+        rows += [(2 * i, line), (2 * i + 1, line[:30] + "0" + line[31:60] + "0" + line[61:])]
+    missed = [r.doc_id for r in fuzzy_lines(make(rows)).collect() if r.first_key != r.doc_id - r.doc_id % 2]
+    assert missed == []
+
+
+def test_short_lines(spark, make, tmp_path):
+    rows = [(1, "Subscribe to our newsletter!"), (2, "Subscribe to our newsletter."), (3, "aaaaaa"), (4, "aaaaaaa"), (5, "abc"), (6, "abd")]
+    make(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.first_key, r.first_line) for r in QUERIES["op8_fuzzy_lines"](spark, str(tmp_path)).collect()}
+    assert got == {1: (1, 0), 2: (1, 0), 3: (3, 0), 4: (3, 0), 5: (5, 0), 6: (6, 0)}
+    lines = brute.fuzzy_lines(rows, min_bytes=0)
+    assert got == {i: lines[i, 0] for i, _ in rows}
+
+
 def test_drop_lines(make):
     rows = [(1, "a first line\n\nanother one"), (2, "another one"), (3, "another one\nnew"), (4, None), (5, "")]
     docs = make(rows)
