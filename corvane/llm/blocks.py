@@ -10,7 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
 SPACES = np.zeros(256, dtype=bool)
@@ -132,6 +133,28 @@ def signed(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
 
 
+def row_key(key: str, text: str) -> Column:
+    """A key of a row that is never null: rows have the same one if key and text are equal. Null keys come last."""
+    return F.struct(F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t"))
+
+
+def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, text`` and ``t``, which names the text of a row without key."""
+    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return source.withColumn("t", F.when(F.col("key").isNull(), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))))
+
+
+def join_named(source: DataFrame, places: DataFrame, named) -> DataFrame:
+    """:func:`join_texts` of a :func:`keyed` table by key, and by ``t`` where ``places`` has no key.
+
+    ``named(places)`` gives one row per ``key``, and has the other columns that are wanted.
+    """
+    by_key = named(places.filter("key is not null").drop("t"))
+    by_text = named(places.filter("key is null").select(F.col("t").alias("key"), *[c for c in places.columns if c not in ("key", "t")]))
+    no_key = source.filter("key is null").select(F.col("t").alias("key"), "text")
+    return join_texts(source, by_key, "key").drop("key").unionByName(join_texts(no_key, by_text, "key").drop("key"))
+
+
 def join_texts(docs: DataFrame, named: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``key`` and ``text`` joined to ``named`` by ``key``; the texts cross the shuffle compressed.
 

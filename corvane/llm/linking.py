@@ -126,8 +126,9 @@ def check_pairs(pairs: DataFrame, texts: DataFrame, shingles, percent: int) -> D
     dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def check(batches):
-        hub = np.zeros(0, np.uint64)
+        hub, hub_of = np.zeros(0, np.uint64), None
         for batch in batches:
+            own_hub = batch.column(0).to_numpy()
             alone = batch.column(1).is_null().to_numpy(zero_copy_only=False)
             found = []
             for part in blocks.texts(batch.column(2)):
@@ -135,7 +136,9 @@ def check_pairs(pairs: DataFrame, texts: DataFrame, shingles, percent: int) -> D
                 for i in range(len(part)):
                     own = values[bounds[i] : bounds[i + 1]]
                     if alone[part.first + i]:
-                        hub = own.copy()
+                        hub, hub_of = own.copy(), own_hub[part.first + i]
+                        continue
+                    if own_hub[part.first + i] != hub_of:  # the hub has no text
                         continue
                     both = len(np.intersect1d(hub, own, assume_unique=True))
                     if 100 * both >= percent * (len(hub) + len(own) - both):

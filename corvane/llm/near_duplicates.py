@@ -96,7 +96,7 @@ def near_duplicates(
     the start, so copies cost one row each. Texts without words, null ones too, have an empty set and stand alone.
     Rows with a repeated key get one result each; a null key is kept if it stands alone. An empty table gives no rows.
     """
-    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    source = blocks.keyed(docs, key, text)
     kind = dict(source.dtypes)["key"]
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,18 +111,24 @@ def near_duplicates(
                 cuts = np.concatenate([[0], np.cumsum(np.where(new, bands, 0))])
                 items = pa.array(ids, mask=sizes == 0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, len(part)), items, pa.array(sizes), blocks.ragged(blocks.signed(keys[new].ravel()), cuts, pa.int64())],
-                    names=["key", "item", "size", "bands"],
+                    [
+                        batch.column(0).slice(part.first, len(part)),
+                        items,
+                        pa.array(sizes),
+                        blocks.ragged(blocks.signed(keys[new].ravel()), cuts, pa.int64()),
+                        batch.column(2).slice(part.first, len(part)),
+                    ],
+                    names=["key", "item", "size", "bands", "t"],
                 )
 
-    sketches = cut_lineage(source.mapInArrow(sketched, f"key {kind}, item bigint, size bigint, bands array<bigint>"))
-    lowest = cut_lineage(sketches.filter("item is not null").groupBy("item").agg(F.min("key").alias("low")))
+    sketches = cut_lineage(source.mapInArrow(sketched, f"key {kind}, item bigint, size bigint, bands array<bigint>, t bigint"))
+    lowest = cut_lineage(sketches.filter("item is not null").groupBy("item").agg(F.min("key").alias("low"), F.min("t").alias("t")))
 
     def shingles(part: blocks.Texts) -> tuple[np.ndarray, np.ndarray]:
         return shingle_sets(part, width)
 
     def texts_of(wanted: DataFrame) -> DataFrame:
-        named = lowest.join(wanted, "item").select(F.col("low").alias("key"), "item")
+        places = lowest.join(wanted, "item").select(F.col("low").alias("key"), "t", "item")
 
         def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """Rows whose text is the item's: where keys repeat, other texts come along."""
@@ -131,7 +137,7 @@ def near_duplicates(
                 same = [items[p.first : p.last] == blocks.signed(set_keys(*shingles(p))) for p in blocks.texts(batch.column(1))]
                 yield batch.filter(pa.array(np.concatenate(same) if same else np.zeros(0, bool)))
 
-        texts = blocks.join_texts(source, named, "key").select("item", "text")
+        texts = blocks.join_named(source, places, lambda named: named).select("item", "text")
         return texts.mapInArrow(own, "item bigint, text string").dropDuplicates(["item"])
 
     groups = link_items(sketches.filter("item is not null").select("item", "size", "bands"), texts_of, shingles, percent)

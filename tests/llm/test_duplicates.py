@@ -121,6 +121,17 @@ def test_short_lines(spark, make, tmp_path):
     assert got == {i: lines[i, 0] for i, _ in rows}
 
 
+def test_texts_of_rows_without_key(make):
+    draw = random.Random(4)
+    say = lambda n: " ".join("".join(draw.choices("abcdefgh", k=5)) for _ in range(n))
+    a, b = say(60), say(60)
+    rows = [(None, a), (3, a), (4, a + " more"), (None, b), (5, b + " more"), (None, say(40))]
+    got = sorted((r.doc_id or 0, r.first_key) for r in fuzzy_lines(make(rows)).collect() if r.first_key)
+    assert got == [(0, 3), (0, 5), (3, 3), (4, 3), (5, 5)]
+    near = sorted((r.doc_id or 0, r.component_id) for r in near_duplicates(make(rows)).collect() if r.component_id)
+    assert near == got
+
+
 def test_drop_lines(make):
     rows = [(1, "a first line\n\nanother one"), (2, "another one"), (3, "another one\nnew"), (4, None), (5, "")]
     docs = make(rows)

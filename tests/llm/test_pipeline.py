@@ -106,6 +106,23 @@ def test_pipeline(spark, tmp_path):
     assert got == want and len(want) > 60
 
 
+def test_null_and_repeated_ids(spark):
+    """No stage loses a text for its id: rejected, repeated and linked rows are told apart by id and text."""
+    draw = random.Random(6)
+    vocabulary = ["".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 7))) for _ in range(100)]
+    say = lambda n: " ".join(draw.choice(vocabulary) for _ in range(n))
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    after = lambda stage, rows: Counter((r.doc_id, r.text) for r in stage(spark, table(rows), "").collect())
+    a, b, c, d, line = say(70), say(70), say(70), say(70), say(30)
+    assert after(corpus_pipeline.quality_stage, [(None, a), (None, b), (7, c), (7, "short"), (8, d)]) == Counter([(None, a), (None, b), (7, c), (8, d)])
+    rows = [(2, line), (None, f"{a}\n{line}"), (None, f"{b}\n{c}"), (5, f"{line}\n{d}"), (5, f"{d[::-1]}\n{c[::-1]}")]
+    assert after(corpus_pipeline.line_stage, rows) == Counter([(2, line), (None, a), (None, f"{b}\n{c}"), (5, d), (5, f"{d[::-1]}\n{c[::-1]}")])
+    rows = [(1, a), (1, b), (1, a), (1, b + " more"), (None, c), (None, c), (None, d), (None, None), (None, None), (9, d)]
+    got = after(corpus_pipeline.near_stage, rows)
+    assert sum(n for (i, t), n in got.items() if t in (b, b + " more")) == 1
+    assert {k: n for k, n in got.items() if k[1] not in (b, b + " more")} == {(1, a): 1, (None, c): 1, (None, None): 2, (9, d): 1}
+
+
 def test_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "near-duplicate dedup", "mixing sources", "sampled pieces",
