@@ -109,7 +109,6 @@ def judge_quality(
     min_common_words: int = 80,
     min_words: int = 50,
     most_repeated: int = 50,
-    max_languages: int = 512,
 ) -> DataFrame:
     """One row per document: ``key``, its counts, ``class_distance``, ``word_distance``, ``base_failed`` and ``kept``.
 
@@ -121,8 +120,8 @@ def judge_quality(
     judged by the one or the other. Documents with fewer than ``min_words`` words, or with more than ``most_repeated``
     percent of them in repeated windows, fail before.
 
-    Null text has no words and fails. The languages beyond the ``max_languages`` with most words, and null, share one
-    reference. Rows with equal keys are judged each by itself. An empty table gives no rows.
+    Null text has no words and fails. Every language has its own reference, however many there are; null counts as the
+    empty one. Rows with equal keys are judged each by itself. An empty table gives no rows.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), body.alias("_text"))
@@ -132,7 +131,7 @@ def judge_quality(
     again = _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
     measured = class_counts(base, "_text").select(
         "_key",
-        "_lang",
+        F.coalesce("_lang", F.lit("")).alias("_ref"),
         "_t",
         F.size("_words").cast("bigint").alias("_n"),
         again.cast("bigint").alias("_again"),
@@ -142,24 +141,18 @@ def judge_quality(
         *[f"_c_{k}" for k in KINDS],
     )
     measured = cut_lineage(measured)
-    by_words = measured.filter("_lang is not null").groupBy("_lang").agg(F.sum("_n").alias("n"))
-    named = cut_lineage(by_words.orderBy(F.col("n").desc(), "_lang").limit(max_languages).select("_lang", F.col("_lang").alias("_ref")))
-
-    def referred(df: DataFrame) -> DataFrame:  # the named languages are max_languages at most
-        return df.join(F.broadcast(named), "_lang", "left").drop("_lang").withColumn("_ref", F.coalesce("_ref", F.lit("")))
-
-    tokens = referred(measured.select("_lang", "_t", "_short")).select("_ref", "_t", F.explode("_short").alias("_word"))
+    tokens = measured.select("_ref", "_t", F.explode("_short").alias("_word"))
     tokens = tokens.withColumn("_word", F.lower("_word"))
     vocabulary = tokens.groupBy("_ref", "_word").agg(F.count(F.lit(1)).alias("n"))
     most = Window.partitionBy("_ref").orderBy(F.col("n").desc(), "_word")
     top = vocabulary.withColumn("_at", F.row_number().over(most)).filter(F.col("_at") <= common)
-    referring = referred(measured.drop("_short"))
+    referring = measured.drop("_short")
     sums = referring.groupBy("_ref").agg(F.sum("_n").alias("_all"), F.sum("_chars").alias("_all_chars"), *[F.sum(f"_c_{k}").alias(f"_s_{k}") for k in KINDS])
     sums = cut_lineage(sums)
     top = cut_lineage(top.join(sums.select("_ref", "_all"), "_ref").select("_ref", "_word", (F.col("n") / F.col("_all")).alias("_q")))
     # counts of the common words of each text; a text stands once for all its copies, whose shares are the same
     found = (
-        tokens.join(F.broadcast(top), ["_ref", "_word"])  # common * max_languages rows at most
+        tokens.join(top, ["_ref", "_word"])
         .groupBy("_ref", "_t", "_word")
         .agg(F.count(F.lit(1)).alias("n"), F.first("_q").alias("_q"))
     )
@@ -169,9 +162,9 @@ def judge_quality(
         F.sum(_half(F.col("_p"), F.col("_q")) - F.col("_q") / 2).alias("_div"), F.sum("_p").alias("_hit")
     )
     held = top.groupBy("_ref").agg(F.sum("_q").alias("_held"))
-    languages = sums.join(held, "_ref", "left")
+    languages = cut_lineage(sums.join(held, "_ref", "left"))
     # a common word that a text lacks adds half its share in the reference
-    judged = referring.join(F.broadcast(languages), "_ref").join(parts, ["_ref", "_t"], "left")
+    judged = referring.join(languages, "_ref").join(parts, ["_ref", "_t"], "left")
     rest = _half(F.greatest(F.lit(0.0), 1 - F.coalesce("_hit", F.lit(0.0))), F.greatest(F.lit(0.0), 1 - F.coalesce("_held", F.lit(0.0))))
     words_far = F.sqrt(F.greatest(F.lit(0.0), F.coalesce("_div", F.lit(0.0)) + F.coalesce("_held", F.lit(0.0)) / 2 + rest))
     classes = [_half(F.col(f"_c_{k}") / F.col("_chars"), F.col(f"_s_{k}") / F.col("_all_chars")) for k in KINDS]

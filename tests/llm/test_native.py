@@ -40,6 +40,18 @@ def test_quality_counts(spark, make):
     assert quality.judge_quality(make([])).count() == 0
 
 
+def test_every_language_has_its_reference(spark):
+    """More languages than 512, of three scripts, with one text each: none is far from its own histograms."""
+    rows = []
+    for i in range(530):
+        say = ("abcdefgh", "абвгдежз", "12345678")[i % 3]
+        rows.append((i, " ".join(say[k % 7 :] + say[k % 5 :] + say[k // 8] for k in range(60)) + " " + " ".join(say[k % 8] + say[k // 8] for k in range(60)), f"l{i}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = quality.judge_quality(docs, most_repeated=100).collect()
+    assert len(got) == 530 and all(r.kept for r in got)
+    assert max(r.class_distance for r in got) < 1e-6 and max(r.word_distance for r in got) < 1e-6
+
+
 def test_quality_against_labels(spark):
     folder = "/root/testdata/sf0.01"
     judged = QUERIES["op2_quality_divergence"](spark, folder)
