@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import lines, mixing, near_duplicates, neighbours, pieces, quality, repeats, sharding, token_counts, url_templates
+from corvane.llm import lines, mixing, near_duplicates, neighbours, pieces, quality, repeats, sharding, token_counts, token_files, url_templates
+from corvane.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -200,3 +202,18 @@ def op9_edited_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return edited.select(
         "doc_id", "tokens_before", "tokens_after", "leaves_before", "leaves_after", "encoded_leaves", F.crc32(F.col("text").cast("binary")).alias("text_crc32")
     )
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op11_range_coded_tokens")
+def op11_range_coded_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    out = f"{shared_folder(spark).rstrip('/')}/token-ids-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, folder, "documents"), out, tokenizer_path("word_bpe_49k.json"))
+    read = token_files.read_tokens(spark, out)
+    return read.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
