@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import lines, mixing, near_duplicates, neighbours, pieces, quality, repeats, sharding, token_counts, token_files, url_templates
-from corvane.session import shared_folder
+from corvane.llm import lines, mixing, near_duplicates, neighbours, pieces, prefix_trie, quality, repeats, sharding, token_counts, token_files, url_templates, whitening
+from corvane.session import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -217,3 +217,18 @@ def op11_range_coded_tokens(spark: SparkSession, folder: str) -> DataFrame:
     token_files.write_tokens(table(spark, folder, "documents"), out, tokenizer_path("word_bpe_49k.json"))
     read = token_files.read_tokens(spark, out)
     return read.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = cut_lineage(whitening.quantize(table(spark, folder, "embeddings"), "vec_id", "embedding", 64, 1_000_000))
+    fit = whitening.fit_whitening(rows, 16)
+    if fit is None:
+        return spark.createDataFrame([], "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double")
+    return whitening.whiten(rows, fit).withColumnRenamed("key", "vec_id")
+
+
+@query("op13_prefix_trie")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    convs = prefix_trie.conversations(table(spark, folder, "conversations"))
+    return prefix_trie.conversation_trie(prefix_trie.share_openings(convs))
