@@ -13,8 +13,10 @@ executor leaves no half file that a reader would take.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,55 +32,117 @@ TABLE = "table.arrow"
 GROUP = 1 << 19  # ids of the documents that are decoded together
 
 
+# The word split of the tokenizer, over the letters and signs whose normal form and lower case are theirs alone.
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017e\u0430-\u045f"
+PLAIN = re.compile(f"[ -~{LETTERS}\u00c0-\u00d6\u00d8-\u00de\u0400-\u042f\u2010-\u2027]+")
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]| |[^ 0-9{LETTERS}]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for a byte in a byte-level vocabulary: itself if it prints, else one from 256 on."""
+    printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in printing]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Lists:
+    """Lists of ids one after the other in a growing array, each known by its place."""
+
+    def __init__(self):
+        self.ids, self.bounds, self.n = np.zeros(1 << 18, np.uint32), np.zeros(1 << 16, np.int64), 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        begin, end = int(self.bounds[self.n]), int(self.bounds[self.n]) + len(ids)
+        if end > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros(max(end, len(self.ids)), np.uint32))
+        if self.n + len(sizes) >= len(self.bounds):
+            self.bounds = np.append(self.bounds, np.zeros(max(len(sizes) + 1, len(self.bounds)), np.int64))
+        self.ids[begin:end] = ids
+        self.bounds[self.n + 1 : self.n + 1 + len(sizes)] = begin + np.cumsum(sizes)
+        self.n += len(sizes)
+
+    def get(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the lists at ``places``, and the number of ids before each list and before the end."""
+        begin = self.bounds[places]
+        size = self.bounds[places + 1] - begin
+        ends = np.cumsum(size)
+        return self.ids[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], np.concatenate([[0], ends])
+
+
 class WordIds:
     """Ids of the words of a text, by a tokenizer whose tokens never reach over ASCII white space.
 
-    The ids of words seen are remembered in one growing array, until they and their words pass ``most`` bytes.
+    The ids of words seen are remembered until they and their words pass about ``most`` bytes. With ``split`` (a
+    lower-casing byte-level tokenizer that splits by ``PIECES``), words of plain letters and signs are split here and only
+    their pieces go through the tokenizer's merges; every other word goes through the whole tokenizer.
     """
 
-    def __init__(self, tokenizer_path: str, most: int = 96 << 20):
+    def __init__(self, tokenizer_path: str, most: int = 96 << 20, split: bool = True):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(tokenizer_path), most
+        self.tokenizer, self.most, self.split = Tokenizer.from_file(tokenizer_path), most, split
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids, self.bounds, self.held = np.zeros(1 << 20, np.uint32), [0], 0
+        self.pieces: dict[str, int] = {}
+        self.of_words, self.of_pieces, self.held = Lists(), Lists(), 0
+
+    def _merged(self, piece: str) -> list[int]:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(letters)]
+
+    def _flat(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._flat([e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+
+    def _split(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        pieces = PIECES.findall(text.lower())
+        new = [p for p in set(pieces) if p not in self.pieces]
+        self.of_pieces.add(*self._flat([[] if p == " " else self._merged(p) for p in new]))
+        self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
+        places = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+        ids, before = self.of_pieces.get(places)
+        gaps = np.flatnonzero(places == self.pieces.get(" ", -1))
+        self.held += 128 * len(new)
+        return ids, np.diff(np.concatenate([[0], before[gaps], before[-1:]]))
 
     def learn(self, words: list[bytes]) -> None:
         for a in range(0, len(words), 4096):
             some = words[a : a + 4096]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in some], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            begin, n = self.bounds[-1], int(sizes.sum())
-            if begin + n > len(self.ids):
-                self.ids = np.append(self.ids, np.zeros(max(n, len(self.ids)), np.uint32))
-            self.ids[begin : begin + n] = np.fromiter((i for f in found for i in f), np.uint32, n)
-            place = len(self.bounds) - 1
-            self.known.update(zip(some, range(place, place + len(some))))
-            self.bounds.extend((begin + np.cumsum(sizes)).tolist())
-            self.held += 4 * n + sum(map(len, some)) + 160 * len(some)
+            text = b" ".join(some).decode(errors="replace")
+            lots = [([], []), (some, text.split(" "))]
+            if not self.split or not PLAIN.fullmatch(text) or "<|" in text:
+                whole = [not self.split or "<|" in w or not PLAIN.fullmatch(w) for w in lots[1][1]]
+                lots = [tuple([x for x, h in zip(xs, whole) if h == want] for xs in lots[1]) for want in (True, False)]
+            for lot, ids_of in zip(lots, (self._whole, lambda ws: self._split(" ".join(ws)))):
+                if lot[0]:
+                    ids, sizes = ids_of(lot[1])
+                    self.of_words.add(ids, sizes)
+                    self.known.update(zip(lot[0], range(len(self.known), len(self.known) + len(sizes))))
+                    self.held += 4 * len(ids) + 160 * len(sizes) + sum(map(len, lot[0]))
 
     def encode(self, text: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts cut at ``bounds``, and the number of ids of each text."""
         words = [text[a:b].split() for a, b in zip(bounds[:-1], bounds[1:])]
-        every = [w for ws in words for w in ws]
+        every = list(chain.from_iterable(words))
         if self.held > self.most:
             self.forget()
         self.learn([w for w in set(every) if w not in self.known])
-        places = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
-        cuts = np.array(self.bounds, np.int64)
-        begin, size = cuts[places], cuts[places + 1] - cuts[places]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(begin - (ends - size), size) + np.arange(total)]
-        per_text = np.concatenate([[0], ends])[np.cumsum([0] + [len(ws) for ws in words])]
-        return ids, np.diff(per_text)
+        ids, before = self.of_words.get(np.fromiter(map(self.known.__getitem__, every), np.int64, len(every)))
+        return ids, np.diff(before[np.cumsum([0] + [len(ws) for ws in words])])
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int | None = 2) -> DataFrame:
-    """``key, t`` (hash of the text), ``nth`` (tells equal rows apart), ``n_tokens`` and ``ids`` as little-endian 32-bit numbers."""
+    """``key, t`` (hash of the text), ``nth`` (tells equal rows apart), ``n_tokens`` and ``ids`` as little-endian numbers.
+
+    These have 16 bits where the vocabulary allows it, else 32.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, nth = WordIds(tokenizer_path), 0
@@ -88,7 +152,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: st
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(sizes), end_id)
                     sizes = sizes + 1
-                raw, ends = ids.astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(sizes)]) * 4
+                width = 4 if words.wide else 2
+                raw, ends = ids.astype(f"<u{width}").tobytes(), np.concatenate([[0], np.cumsum(sizes)]) * width
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, len(part)),
@@ -105,21 +170,28 @@ def tokenize(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: st
     return named.mapInArrow(run, "key bigint, t bigint, nth bigint, n_tokens bigint, ids binary")
 
 
+def _ids_of(column: pa.Array, n: int) -> np.ndarray:
+    """All ids of a column of packed ids, ``n`` in number."""
+    _, offsets, raw = column.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    size = int(cuts[-1] - cuts[0])
+    return np.frombuffer(raw, f"<u{size // n}", n, cuts[0]) if n else np.zeros(0, np.uint32)
+
+
 def count_ids(tokens: DataFrame) -> DataFrame:
     """``id, n`` over the whole corpus; one row per id and task is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for raw in batch.column(0):
-                found = np.bincount(np.frombuffer(raw.as_buffer(), "<u4"))
-                if len(found) > len(total):
-                    total = np.append(total, np.zeros(len(found) - len(total), np.int64))
-                total[: len(found)] += found
+            found = np.bincount(_ids_of(batch.column(1), int(batch.column(0).to_numpy().sum())))
+            if len(found) > len(total):
+                total = np.append(total, np.zeros(len(found) - len(total), np.int64))
+            total[: len(found)] += found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("n_tokens", "ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(
@@ -136,7 +208,9 @@ def write_tokens(
     ``file_ids`` is the mean number of ids of a file. The frequency table goes through the driver: it has one entry per id
     that occurs, which the tokenizer's vocabulary bounds.
     """
-    tokens = cut_lineage(tokenize(docs, tokenizer_path, key, text, end_id))
+    scratch = f"{folder}/_tokens"  # a name that readers pass over
+    tokenize(docs, tokenizer_path, key, text, end_id).write.parquet(scratch)
+    tokens = docs.sparkSession.read.parquet(scratch)
     counted = count_ids(tokens).toPandas()
     table = range_coder.Table(counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.int64))
     fs, base = range_coder.open_folder(folder)
@@ -156,10 +230,8 @@ def write_tokens(
             writer = range_coder.Writer(sink, number, table)
             n_docs = 0
             while batch is not None:
-                values = batch.column(2)
-                _, offsets, raw = values.buffers()
-                cuts = np.frombuffer(offsets, np.int32)[values.offset : values.offset + len(values) + 1]
-                writer.add(batch.column(0), batch.column(1).to_numpy(), np.frombuffer(raw, "<u4", (cuts[-1] - cuts[0]) // 4, cuts[0]))
+                sizes = batch.column(1).to_numpy()
+                writer.add(batch.column(0), sizes, _ids_of(batch.column(2), int(sizes.sum())))
                 n_docs += batch.num_rows
                 batch = next((b for b in batches if b.num_rows), None)
             writer.close()
@@ -169,7 +241,9 @@ def write_tokens(
 
     order = [F.col("key").asc_nulls_last(), "t", "nth"]
     ranged = tokens.repartitionByRange(n_files, *order).sortWithinPartitions(*order).select("key", "n_tokens", "ids")
-    return cut_lineage(ranged.mapInArrow(run, "path string, n_docs bigint, n_ids bigint, bytes bigint"))
+    written = cut_lineage(ranged.mapInArrow(run, "path string, n_docs bigint, n_ids bigint, bytes bigint"))
+    fs.delete_dir(f"{base}/_tokens")
+    return written
 
 
 def read_table(folder: str) -> range_coder.Table:

@@ -81,6 +81,21 @@ def test_words_are_forgotten_and_learned_again():
         assert (got[0] == want[0]).all() and got[1].tolist() == want[1].tolist()
 
 
+def test_words_against_the_whole_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer, words = Tokenizer.from_file(TOKENIZER), token_files.WordIds(TOKENIZER, most=200_000)
+    rng = np.random.default_rng(8)
+    known = "abcsStTrReEvVmMlLdD'’\"<|>0189 \n.,;:!?()#$-–—…“”‧ßÀÖØÞàöøÿĀİıſŁžŸАЯяёЁЏџ"
+    any_ = [chr(c) for c in (*range(0, 0x250), *range(0x300, 0x310), *range(0x370, 0x500), *range(0x2000, 0x2070), 0x4E00, 0xAC00, 0x1100, 0x1161, 0x1F642, 0x3000, 0xFB01)]
+    for letters, most in ((list(known), 40), (any_, 30), (list(known) + any_, 60)):
+        texts = ["".join(rng.choice(letters, rng.integers(0, most))) for _ in range(4000)]
+        raw = [t.encode() for t in texts]
+        ids, sizes = words.encode(b"".join(raw), np.cumsum([0] + [len(r) for r in raw]))
+        for text, got in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
+            assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def table_of(ids):
     return range_coder.Table(*np.unique(ids, return_counts=True))
 
