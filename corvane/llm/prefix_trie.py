@@ -3,12 +3,12 @@
 A conversation is a row of prefix keys: the key of depth d is a 128-bit digest of the key of depth d - 1 and the turn d, so
 equal keys are equal prefixes. One level at a time, the nodes that came up from below and the conversations that end here
 are grouped by their last key; the group is a node and has all its sums at once; then the last key is stripped and the rows
-go one level up. No row ever holds members: those that end at a node are hashed in order by a stream over sorted runs.
+go one level up. Levels whose prefixes all have few keys below them go up several at a time. No row ever holds members: those that end at a node are hashed in order by a stream over sorted runs.
 
 Odd rows: null role or text count as empty; rows without conversation id take no part. Turns stand by number, null first;
 turns of one number by digest. Repeated rows are turns of their own. Conversations without turns end at the root. An empty
 table has no nodes. Only the named columns are read. Texts are read once and never moved; a conversation's keys are one
-row, and each level rewrites what is left of them, so a conversation of t turns costs t rounds and t squared / 2 keys.
+row, and each round rewrites what is left of them, so a conversation of t turns costs up to t squared / 2 keys.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from corvane.session import cut_lineage, shared_folder
 
 ROOT = b""
 RUN = 4096  # members of one run of the stream of ends
+PATH = "array<struct<key: binary, words: int>>"
 SUMS = ("n_convs", "n_children", "n_leaves", "saved")
 
 
@@ -61,7 +62,7 @@ def prefix_keys(convs: DataFrame) -> DataFrame:
             path = pa.StructArray.from_arrays([pa.array(keys, pa.binary()), turns.field(1)], ["key", "words"])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), path)], names=["conv", "path"])
 
-    return convs.mapInArrow(run, "conv bigint, path array<struct<key: binary, words: int>>")
+    return convs.mapInArrow(run, f"conv bigint, path {PATH}")
 
 
 def sorted_digests(members: DataFrame) -> DataFrame:
@@ -115,45 +116,115 @@ def sorted_digests(members: DataFrame) -> DataFrame:
     return joined.repartition("key").sortWithinPartitions("key", "first").select("key", "ids").mapInArrow(digests, "key binary, ends_sha256 string")
 
 
-def conversation_trie(convs: DataFrame) -> DataFrame:
+def _merged(rows: DataFrame) -> DataFrame:
+    """Contributions to nodes, one row per node."""
+    return (
+        rows.withColumn("key", _key(F.col("path")))
+        .groupBy("key")
+        .agg(F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in SUMS], F.first("path").alias("path"))
+    )
+
+
+def _key(path: Column) -> Column:
+    return F.coalesce(F.try_element_at(path, F.lit(-1)).key, F.lit(ROOT))
+
+
+NODE = f"conv_id bigint, depth int, key binary, parent binary, {', '.join(f'{c} bigint' for c in SUMS)}, path {PATH}, live boolean"
+
+
+def _peel_one(rows: DataFrame, depth: int) -> DataFrame:
+    """Nodes of the deepest level from all contributions to it, and those to the level above as ``live`` rows."""
+    words = F.coalesce(F.try_element_at("path", F.lit(-1)).words, F.lit(0))
+    parent = F.when(F.size("path") > 0, _key(F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0)))))
+    return (
+        _merged(rows)
+        .withColumn("n_leaves", F.greatest("n_leaves", F.lit(1)))
+        .withColumn("saved", F.col("saved") + (F.col("n_convs") - 1) * words)
+        .select("conv_id", F.lit(depth).alias("depth"), "key", parent.alias("parent"), *SUMS, "path", F.lit(False).alias("live"))
+    )
+
+
+def _peel_many(rows: DataFrame, depth: int, levels: int) -> DataFrame:
+    """Nodes of ``levels`` levels from ``depth`` up, and the contributions to the level above them as ``live`` rows.
+
+    The rows under one prefix of the level above are peeled together, one after the other from the deepest.
+    """
+    top = depth - levels
+
+    def peel(table: pa.Table) -> pa.Table:
+        ids, sums = table["conv_id"].to_pylist(), list(zip(*(table[c].to_pylist() for c in SUMS)))
+        tails = table["tail"].to_pylist()
+        anchor = table["anchor"][0].as_py()
+        at: dict[int, dict[bytes, list]] = {}
+        for conv, (n, children, leaves, saved), tail in zip(ids, sums, tails):
+            at.setdefault(len(tail), {})[tail[-1]["key"]] = [conv, n, children, leaves, saved, tail]
+        out = []
+        for size in range(levels, 0, -1):
+            for key, (conv, n, children, leaves, saved, tail) in at.pop(size, {}).items():
+                parent = tail[size - 2]["key"] if size > 1 else anchor
+                leaves, saved = max(leaves, 1), saved + (n - 1) * tail[size - 1]["words"]
+                out.append((conv, top + size, key, parent, n, children, leaves, saved, None, False))
+                above = at.setdefault(size - 1, {}).setdefault(parent, [conv, 0, 0, 0, 0, tail])
+                above[0] = min(above[0], conv)
+                for i, part in enumerate((n, 1, leaves, saved), 1):
+                    above[i] += part
+        conv, n, children, leaves, saved, _ = at[0][anchor]
+        out.append((conv, top, anchor, None, n, children, leaves, saved, table["head"][0].as_py(), True))
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*out), arrow_node)]
+        return pa.table(columns, schema=arrow_node)
+
+    kinds = {"conv_id": pa.int64(), "depth": pa.int32(), "key": pa.binary(), "parent": pa.binary(), **{c: pa.int64() for c in SUMS}}
+    path = pa.list_(pa.struct([("key", pa.binary()), ("words", pa.int32())]))
+    arrow_node = pa.schema([*kinds.items(), ("path", path), ("live", pa.bool_())])
+    split = rows.select("conv_id", *SUMS, F.slice("path", 1, top).alias("head"), F.slice("path", top + 1, levels).alias("tail"))
+    return split.withColumn("anchor", _key(F.col("head"))).groupBy("anchor").applyInArrow(peel, NODE)
+
+
+def conversation_trie(convs: DataFrame, together: int = 1 << 17) -> DataFrame:
     """Nodes of the trie of ``conv, turns``, the ids being distinct.
 
     Columns ``conv_id`` (smallest member), ``depth``, ``parent_conv_id``, ``n_convs``, ``n_children``, ``n_leaves``,
-    ``saved_tokens`` and ``ends_sha256``.
+    ``saved_tokens`` and ``ends_sha256``. Where no prefix has more than ``together`` keys below it, a round peels many
+    levels, each prefix in a task of its own; elsewhere a round peels one level by a grouping of all rows.
     """
     spark = convs.sparkSession
+    zero = F.lit(0).cast("bigint")
     paths = cut_lineage(prefix_keys(convs).withColumn("depth", F.size("path")).sortWithinPartitions("depth"))
     deepest = paths.agg(F.max("depth")).collect()[0][0]
+    ending = paths.select(
+        "path", F.col("conv").alias("conv_id"), F.lit(1).cast("bigint").alias("n_convs"), *[zero.alias(c) for c in SUMS[1:]], "depth"
+    )
     folder = f"{shared_folder(spark).rstrip('/')}/trie-{uuid.uuid4().hex}"
-    key = lambda path: F.coalesce(F.try_element_at(path, F.lit(-1)).key, F.lit(ROOT))
-    below = None
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
-        zero = F.lit(0).cast("bigint")
-        ending = paths.filter(F.col("depth") == depth).select(
-            "path", F.col("conv").alias("conv_id"), F.lit(1).cast("bigint").alias("n_convs"), *[zero.alias(c) for c in SUMS[1:]]
-        )
-        if below is not None:
-            stripped = below.select(
-                F.slice("path", 1, depth).alias("path"), "conv_id", "n_convs", F.lit(1).cast("bigint").alias("n_children"), "n_leaves", "saved"
-            )
-            ending = ending.unionByName(stripped)
-        words = F.coalesce(F.try_element_at("path", F.lit(-1)).words, F.lit(0))
-        nodes = (
-            ending.withColumn("key", key(F.col("path")))
-            .groupBy("key")
-            .agg(F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in SUMS], F.first("path").alias("path"))
-            .withColumn("n_leaves", F.greatest("n_leaves", F.lit(1)))
-            .withColumn("saved", F.col("saved") + (F.col("n_convs") - 1) * words)
-            .withColumn("parent", F.when(F.size("path") > 0, key(F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0))))))
-        )
-        nodes.write.parquet(f"{folder}/depth={depth}")
-        below = spark.read.schema(nodes.schema).parquet(f"{folder}/depth={depth}")
-    if below is None:
+    live, depth, nodes = None, -1 if deepest is None else deepest, None
+    while depth >= 0:
+        for levels in (64, 8, 1):
+            above = depth - levels
+            rows = ending.filter((F.col("depth") > above) & (F.col("depth") <= depth)).drop("depth")
+            rows = rows if live is None else rows.unionByName(live)
+            if levels == 1:
+                nodes = _peel_one(rows, depth)
+            elif above >= 1:
+                rows = cut_lineage(_merged(rows))
+                below = rows.groupBy(_key(F.slice("path", 1, above)).alias("anchor")).agg(F.sum(F.size("path")).alias("keys"))
+                if below.agg(F.max("keys")).collect()[0][0] > together:
+                    continue
+                nodes = _peel_many(rows, depth, levels)
+            else:
+                continue
+            break
+        nodes.write.parquet(f"{folder}/from={depth}")
+        written = spark.read.schema(nodes.schema).parquet(f"{folder}/from={depth}")
+        depth -= levels
+        if levels == 1:
+            live = written.select(F.slice("path", 1, max(depth, 0)).alias("path"), "conv_id", "n_convs", F.lit(1).cast("bigint").alias("n_children"), "n_leaves", "saved")
+        else:
+            live = written.filter("live").select("path", "conv_id", *SUMS)
+    if nodes is None:
         kinds = "bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string"
         return spark.createDataFrame([], f"conv_id {kinds}")
-    nodes = spark.read.parquet(folder).drop("path")
+    nodes = spark.read.schema(nodes.schema).parquet(f"{folder}/from=*").filter("not live").drop("path", "live")
     parents = nodes.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    ends = sorted_digests(paths.select(key(F.col("path")).alias("key"), "conv"))
+    ends = sorted_digests(paths.select(_key(F.col("path")).alias("key"), "conv"))
     return (
         nodes.join(parents, "parent", "left")
         .join(ends, "key", "left")

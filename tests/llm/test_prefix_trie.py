@@ -1,6 +1,7 @@
 """The prefix trie against dictionaries of all prefixes."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -98,3 +99,15 @@ def test_a_deep_conversation_and_long_texts(spark):
     convs = {1: deep, 2: deep[:17], 3: deep[:17] + [("u", "other")]}
     rows = spark.createDataFrame([(c, i, *t) for c, ts in convs.items() for i, t in enumerate(ts)], "conv_id bigint, turn int, role string, text string")
     assert rows_of(prefix_trie.conversation_trie(prefix_trie.conversations(rows))) == plain_trie(convs)
+
+
+@pytest.mark.parametrize("together, deep", [(0, 10), (300, 30), (1 << 17, 140)])
+def test_rounds_of_many_levels_and_of_one(spark, together, deep):
+    rng = random.Random(9)
+    convs = {c: [(str(rng.randrange(2)), f"w{rng.randrange(2)}") for _ in range(rng.choice((0, 2, 5, 9)))] for c in range(60)}
+    stem = [("u", f"s {i}") for i in range(deep)]
+    convs |= {100 + c: stem[: rng.randrange(deep + 1)] + [("x", str(rng.randrange(2)))] * rng.randrange(4) for c in range(40)}
+    rows = [(c, i, *t) for c, ts in convs.items() for i, t in enumerate(ts)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    trie = prefix_trie.conversation_trie(prefix_trie.conversations(df), together)
+    assert rows_of(trie) == plain_trie({c: t for c, t in convs.items() if t})
