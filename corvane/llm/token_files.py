@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +78,7 @@ class WordIds:
     their pieces go through the tokenizer's merges; every other word goes through the whole tokenizer.
     """
 
-    def __init__(self, tokenizer_path: str, most: int = 96 << 20, split: bool = True):
+    def __init__(self, tokenizer_path: str, most: int = 128 << 20, split: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.split = Tokenizer.from_file(tokenizer_path), most, split
@@ -86,7 +87,7 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[str, int] = {}
         self.pieces: dict[str, int] = {}
         self.of_words, self.of_pieces, self.held = Lists(), Lists(), 0
 
@@ -112,30 +113,47 @@ class WordIds:
         self.held += 128 * len(new)
         return ids, np.diff(np.concatenate([[0], before[gaps], before[-1:]]))
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[str]) -> None:
         for a in range(0, len(words), 4096):
             some = words[a : a + 4096]
-            text = b" ".join(some).decode(errors="replace")
-            lots = [([], []), (some, text.split(" "))]
-            if not self.split or not PLAIN.fullmatch(text) or "<|" in text:
-                whole = [not self.split or "<|" in w or not PLAIN.fullmatch(w) for w in lots[1][1]]
-                lots = [tuple([x for x, h in zip(xs, whole) if h == want] for xs in lots[1]) for want in (True, False)]
+            lots = [[], some]
+            text = " ".join(some)
+            if not self.split or not PLAIN.fullmatch(text) or "<|" in text or "" in some:
+                whole = [not self.split or "<|" in w or not PLAIN.fullmatch(w) for w in some]
+                lots = [[w for w, h in zip(some, whole) if h == want] for want in (True, False)]
             for lot, ids_of in zip(lots, (self._whole, lambda ws: self._split(" ".join(ws)))):
-                if lot[0]:
-                    ids, sizes = ids_of(lot[1])
+                if lot:
+                    ids, sizes = ids_of(lot)
                     self.of_words.add(ids, sizes)
-                    self.known.update(zip(lot[0], range(len(self.known), len(self.known) + len(sizes))))
-                    self.held += 4 * len(ids) + 160 * len(sizes) + sum(map(len, lot[0]))
-
-    def encode(self, text: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts cut at ``bounds``, and the number of ids of each text."""
-        words = [text[a:b].split() for a, b in zip(bounds[:-1], bounds[1:])]
-        every = list(chain.from_iterable(words))
+                    self.known.update(zip(lot, range(len(self.known), len(self.known) + len(sizes))))
+                    self.held += 4 * len(ids) + 160 * len(sizes) + sum(map(len, lot))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and the number of ids of each text."""
+        lists = pc.ascii_split_whitespace(texts)
+        found = lists.flatten().dictionary_encode()
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.held > self.most:
             self.forget()
-        self.learn([w for w in set(every) if w not in self.known])
-        ids, before = self.of_words.get(np.fromiter(map(self.known.__getitem__, every), np.int64, len(every)))
-        return ids, np.diff(before[np.cumsum([0] + [len(ws) for ws in words])])
+        self.learn([w for w in words if w not in self.known])
+        places = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        ids, before = self.of_words.get(places[found.indices.to_numpy()])
+        cuts = lists.offsets.to_numpy()
+        return ids, np.diff(before[cuts - cuts[0]])
+
+
+def remembered(tokenizer_path: str) -> WordIds:
+    """The ``WordIds`` of this process, which the tasks of a worker share one after the other.
+
+    Functions come to the workers by value, without a module of their own, so it is kept at the tokenizer library's.
+    """
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_word_ids", {})
+    if tokenizer_path not in kept:
+        kept.clear()
+        kept[tokenizer_path] = WordIds(tokenizer_path)
+    return kept[tokenizer_path]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int | None = 2) -> DataFrame:
@@ -145,10 +163,11 @@ def tokenize(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, nth = WordIds(tokenizer_path), 0
+        words, nth = remembered(tokenizer_path), 0
         for batch in batches:
-            for part in blocks.texts(batch.column(2)):
-                ids, sizes = words.encode(part.data.tobytes(), part.bounds)
+            column = batch.column(2).fill_null("")
+            for part in blocks.texts(column, 2 * blocks.BLOCK_BYTES):
+                ids, sizes = words.encode(column.slice(part.first, len(part)))
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(sizes), end_id)
                     sizes = sizes + 1
