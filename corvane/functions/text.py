@@ -268,3 +268,21 @@ def highlight(text: Column | str, keywords: Sequence[str]) -> Column:
 def stable_id(*parts: Column) -> Column:
     """Content-derived id: md5 over the parts with a separator that cannot occur in them."""
     return F.md5(F.concat_ws("\u0001", *[p.cast("string") for p in parts]))
+
+
+def counted(tokens: Column | str) -> Column:
+    """Distinct tokens of an array with their number, as ``array<struct<token, n>>`` in token order.
+
+    Runs of the sorted array are counted in the row itself, so no shuffle brings equal tokens of a row together. Each
+    array is bound once, as the variable of a lambda over a list of one.
+    """
+    let = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def runs(s: Column) -> Column:
+        opens = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        ends = lambda b, j: F.coalesce(F.get(b, j + 1), F.size(s))
+        return let(opens, lambda b: F.transform(b, lambda at, j: F.struct(F.get(s, at).alias("token"), (ends(b, j) - at).alias("n"))))
+
+    full = F.when(F.size(tokens) > 0, F.sort_array(tokens))
+    none = F.array().cast("array<struct<token:string,n:int>>")
+    return F.coalesce(let(full, lambda s: F.when(s.isNotNull(), runs(s))), none)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -13,162 +12,14 @@ from pyspark.sql import functions as F
 from corvane.functions import scalars as sc
 from corvane.functions import text as tx
 from corvane.operators import filters, ordering
+from corvane.operators.postings import PostingStore, text_match
 from corvane.session import cut_lineage
 
-# Saturation and length terms of the text score, and the shares of the score features.
-K1, B = 1.2, 0.75
+# The shares of the score features.
 UNIGRAM_SHARE, PAIR_SHARE, EPSILON = 0.4, 0.6, 1e-9
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def postings(chunks: DataFrame, fields: Mapping[str, str], key: str = "chunk_id") -> DataFrame:
-    """Inverted index: per (chunk, term) the term's count in each field and the field lengths.
-
-    ``fields`` maps a field name to its token-array column. Rows combine on the map side because all tokens of a
-    chunk are in one partition.
-    """
-    sized = chunks.select(key, *[F.col(c).alias(f"_t_{f}") for f, c in fields.items()]).withColumns(
-        {f"len_{f}": F.size(f"_t_{f}") for f in fields}
-    )
-
-    def tag(field: str) -> Column:
-        return F.transform(F.col(f"_t_{field}"), lambda t: F.struct(t.alias("term"), F.lit(field).alias("field")))
-
-    tagged = F.concat(*[tag(f) for f in fields])
-    lengths = [f"len_{f}" for f in fields]
-    exploded = sized.select(key, *lengths, F.explode(tagged).alias("e")).select(key, *lengths, "e.term", "e.field")
-    return exploded.groupBy(key, *lengths, "term").agg(
-        *[F.count(F.when(F.col("field") == f, 1)).alias(f"tf_{f}") for f in fields]
-    )
-
-
-def field_statistics(chunks: DataFrame, fields: Mapping[str, str]) -> DataFrame:
-    """One row: per field the number of chunks that have it and their mean length."""
-    aggregates = []
-    for f, c in fields.items():
-        size = F.size(c)
-        aggregates += [
-            F.count(F.when(size > 0, 1)).alias(f"n_{f}"),
-            (F.sum(size) / F.count(F.when(size > 0, 1))).alias(f"avg_{f}"),
-        ]
-    return chunks.agg(*aggregates)
-
-
-@dataclass(frozen=True)
-class TextIndex:
-    """Postings of a query vocabulary with their document frequencies and the field statistics (one row)."""
-
-    postings: DataFrame
-    doc_freq: DataFrame
-    statistics: DataFrame
-    fields: tuple[str, ...]
-
-
-def text_index(chunks: DataFrame, fields: Mapping[str, str], vocabulary: DataFrame) -> TextIndex:
-    """Index of the chunks for the terms in ``vocabulary(term)``; shared by every match that uses it."""
-    known = cut_lineage(postings(chunks, fields).join(vocabulary.select("term").distinct(), "term", "left_semi"))
-    doc_freq = known.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), *[F.count(F.when(F.col(f"tf_{f}") > 0, 1)).alias(f"df_{f}") for f in fields]
-    )
-    return TextIndex(known, doc_freq, field_statistics(chunks, fields), tuple(fields))
-
-
-def text_match(
-    query_terms: DataFrame, index: TextIndex, boosts: Mapping[str, float], min_match: float = 0.3
-) -> DataFrame:
-    """Best-field weighted text score ``(query_id, chunk_id, score, matched)`` of the chunks that match enough terms.
-
-    ``query_terms(query_id, term, weight)`` has distinct terms per query. A chunk needs ``floor(min_match * n)`` of
-    the n terms, at least one. The ``need / 2`` most frequent terms of a query make no candidates: a chunk that
-    qualifies holds at least ``need - need / 2`` of the others, so those find all candidates, and the frequent terms
-    are looked up for candidates alone. Nothing is dropped: the result is exact while the postings of the most
-    frequent terms never meet all queries.
-    """
-    known, fields = index.postings, index.fields
-    impact = {}
-    for f in fields:
-        n, df, tf, length = F.col(f"n_{f}"), F.col(f"df_{f}"), F.col(f"tf_{f}"), F.col(f"len_{f}")
-        idf = F.ln(1 + (n - df + 0.5) / (df + 0.5))
-        norm = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / F.col(f"avg_{f}")))
-        impact[f] = F.when(tf > 0, F.lit(float(boosts[f])) * idf * norm).otherwise(0.0)
-    per_query = Window.partitionBy("query_id")
-    need = F.greatest(F.lit(1), F.floor(F.col("n") * min_match).cast("int"))
-    rarity = F.row_number().over(per_query.orderBy(F.coalesce("df", F.lit(0)), "term"))
-    asked = cut_lineage(
-        query_terms.join(index.doc_freq, "term", "left")
-        .withColumns({"n": F.count(F.lit(1)).over(per_query), "_rarity": rarity})
-        .withColumn("need", need)
-        .withColumn("_leads", F.col("_rarity") <= F.col("n") - F.floor(F.col("need") / 2))
-        .filter(F.col("df").isNotNull())
-        .drop("n", "_rarity", "df")
-        .withColumn("_stats", index.statistics.select(F.struct("*")).scalar())
-        .select("*", "_stats.*")
-        .drop("_stats")
-    )
-    def scored(rows: DataFrame) -> DataFrame:
-        parts = [F.sum(F.col("weight") * impact[f]).alias(f"s_{f}") for f in fields]
-        return rows.groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).alias("matched"), F.max("need").alias("need"), *parts)
-
-    enough = F.col("matched") >= F.col("need") - F.floor(F.col("need") / 2)
-    candidates = cut_lineage(scored(known.join(asked.filter("_leads"), "term")).filter(enough))
-    frequent = asked.filter(~F.col("_leads"))
-    looked_up = scored(
-        known.join(frequent.select("term").distinct(), "term", "left_semi")
-        .join(candidates.select("query_id", "chunk_id"), "chunk_id")
-        .join(frequent, ["query_id", "term"])
-    )
-    return (
-        candidates.unionByName(looked_up)
-        .groupBy("query_id", "chunk_id")
-        .agg(
-            F.sum("matched").alias("matched"),
-            F.max("need").alias("need"),
-            *[F.sum(f"s_{f}").alias(f"s_{f}") for f in fields],
-        )
-        .filter(F.col("matched") >= F.col("need"))
-        .select(
-            "query_id",
-            "chunk_id",
-            F.greatest(*[F.col(f"s_{f}") for f in fields], F.lit(0.0)).alias("score"),
-            "matched",
-        )
-    )
-
-
-def matched_pairs(needs: DataFrame, index: DataFrame, query_key: str, chunk_key: str) -> DataFrame:
-    """Pairs ``(query, chunk, matched)`` sharing at least ``need`` terms, by the same rule as ``text_match``.
-
-    ``needs(query_key, term, need)`` holds distinct terms, ``index(chunk_key, term)`` distinct postings.
-    """
-    doc_freq = index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    per_query = Window.partitionBy(query_key)
-    need = F.greatest(F.lit(1), F.col("need"))
-    rarity = F.row_number().over(per_query.orderBy(F.coalesce("df", F.lit(0)), "term"))
-    asked = (
-        needs.join(doc_freq, "term", "left")
-        .withColumns({"need": need, "n": F.count(F.lit(1)).over(per_query), "_rarity": rarity})
-        .withColumn("_leads", F.col("_rarity") <= F.col("n") - F.floor(F.col("need") / 2))
-        .filter(F.col("df").isNotNull())
-        .select(query_key, "term", "need", "_leads")
-    )
-    count = lambda rows: rows.groupBy(query_key, chunk_key).agg(F.count(F.lit(1)).alias("matched"), F.max("need").alias("need"))
-    enough = F.col("matched") >= F.col("need") - F.floor(F.col("need") / 2)
-    candidates = cut_lineage(count(index.join(asked.filter("_leads"), "term")).filter(enough))
-    frequent = asked.filter(~F.col("_leads"))
-    looked_up = count(
-        index.join(frequent.select("term").distinct(), "term", "left_semi")
-        .join(candidates.select(query_key, chunk_key), chunk_key)
-        .join(frequent, [query_key, "term"])
-    )
-    return (
-        candidates.unionByName(looked_up)
-        .groupBy(query_key, chunk_key)
-        .agg(F.sum("matched").alias("matched"), F.max("need").alias("need"))
-        .filter(F.col("matched") >= F.col("need"))
-        .drop("need")
-    )
-
-
 def _unit(matrix: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
@@ -417,7 +268,7 @@ def normalize_scores(hits: DataFrame, method: str = "minmax", score: str = "scor
 def search(
     query_terms: DataFrame,
     queries: DataFrame,
-    index: TextIndex,
+    index: PostingStore,
     vectors: DataFrame,
     boosts: Mapping[str, float],
     topn: int,
@@ -426,21 +277,67 @@ def search(
     min_sim: float = 0.1,
     relaxed_match: float = 0.1,
     relaxed_sim: float = 0.17,
+    given: DataFrame | None = None,
 ) -> DataFrame:
     """First stage: text hits blended with their vector similarity; questions without a hit are asked again, relaxed.
 
-    ``queries(query_id, vector)``; both passes read one index.
+    ``queries(query_id, vector)``; both passes read one index. ``given(query_id, chunk_id)`` holds the chunks of the
+    documents a question is asked about: such a question finds nothing else, and where none of them matches it gets
+    them all, unscored, by id.
     """
+    scope = None if given is None else cut_lineage(given.select("query_id", "chunk_id").distinct())
 
     def stage(match: float, sim: float, asked: DataFrame) -> DataFrame:
-        near = pair_similarity(text_match(asked, index, boosts, match), queries, vectors)
+        hits = text_match(asked, index, boosts, match)
+        if scope is not None:
+            bound = scope.select("query_id").distinct()
+            hits = hits.join(bound, "query_id", "left_anti").unionByName(hits.join(scope, ["query_id", "chunk_id"], "left_semi"))
+        near = pair_similarity(hits, queries, vectors)
         vector_part = F.when(F.round("cosine", 6) >= sim, F.col("cosine")).otherwise(0.0)
         blended = near.withColumn("score", F.col("score") * text_weight + vector_part * (1 - text_weight))
         return ordering.topk_per_query(blended.select("query_id", "chunk_id", "score", "cosine"), topn)
 
     strict = cut_lineage(stage(min_match, min_sim, query_terms))
     missed = query_terms.join(strict.select("query_id").distinct(), "query_id", "left_anti")
-    return strict.unionByName(stage(relaxed_match, relaxed_sim, missed))
+    if scope is None:
+        return strict.unionByName(stage(relaxed_match, relaxed_sim, missed))
+    plain = scope.join(strict.select("query_id").distinct(), "query_id", "left_anti")
+    plain = ordering.topk_per_query(plain.withColumns({"score": F.lit(0.0), "cosine": F.lit(0.0)}), topn).select(*strict.columns)
+    return strict.unionByName(stage(relaxed_match, relaxed_sim, missed.join(scope.select("query_id").distinct(), "query_id", "left_anti"))).unionByName(plain)
+
+
+def hybrid_match(
+    query_terms: DataFrame,
+    queries: DataFrame,
+    index: PostingStore,
+    vectors: DataFrame,
+    boosts: Mapping[str, float],
+    topn: int,
+    mode: str = "hybrid",
+    text_weight: float = 0.3,
+    min_match: float = 0.3,
+    min_sim: float = 0.1,
+    fall_back: bool = False,
+) -> DataFrame:
+    """Best ``topn`` chunks per question ``(query_id, chunk_id, score, rank)`` by words, by meaning or by both.
+
+    ``mode`` is ``keyword``, ``vector`` or ``hybrid``: the last one adds the text score at ``text_weight`` and the cosine
+    of the ``topn`` nearest at the rest, so a chunk that shares no word with the question can be found. With
+    ``fall_back``, questions that vectors give nothing get what their words find.
+    """
+    if mode not in ("keyword", "vector", "hybrid"):
+        raise ValueError(f"no search mode {mode}")
+    best = lambda hits: ordering.topk_per_query(hits.select("query_id", "chunk_id", "score"), topn)
+    if mode == "keyword":
+        return best(text_match(query_terms, index, boosts, min_match, topn))
+    near = cut_lineage(vector_match(queries, vectors, topn, min_sim).select("query_id", "chunk_id", "score"))
+    if mode == "hybrid":
+        return best(fuse_scores(text_match(query_terms, index, boosts, min_match), near, text_weight, topn))
+    found = best(near)
+    if not fall_back:
+        return found
+    missed = query_terms.join(near.select("query_id").distinct(), "query_id", "left_anti")
+    return found.unionByName(best(text_match(missed, index, boosts, min_match, topn)))
 
 
 def candidate_window(page_size: int, around: int = 64) -> int:

@@ -36,15 +36,13 @@ def document_frequency(
 ) -> DataFrame:
     """``(token, df, tf)``: documents holding the token and its occurrences.
 
-    Occurrences are counted per document first, on the map side, so a frequent token reaches the second
-    aggregation as one row per document at most. A ``vocabulary(token)`` restricts the count to its tokens before
-    anything is shuffled.
+    Occurrences are counted within the row, so one aggregation with a map side is all there is to shuffle. A
+    ``vocabulary(token)`` restricts the count to its tokens.
     """
-    rows = df.select(key, F.explode(tokens).alias("token"))
+    rows = df.select(F.explode(tx.counted(tokens)).alias("e")).select("e.token", "e.n")
     if vocabulary is not None:
         rows = rows.join(vocabulary.select("token").distinct(), "token", "left_semi")
-    per_doc = rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
-    return per_doc.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("_n").alias("tf"))
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
 
 
 def inverse_frequency(n: Column, total: int) -> Column:
@@ -170,12 +168,12 @@ def query_terms(
     return out.groupBy("query_id", "kind", "term").agg(F.sum("weight").alias("weight"))
 
 
-def paragraph_query(token_rows: DataFrame, stats: DataFrame, key: str, topn: int = 30) -> DataFrame:
-    """The heaviest ``topn`` distinct terms of each text as a query, with the matches it needs.
+def paragraph_query(texts: DataFrame, stats: DataFrame, key: str, topn: int = 30, tokens: str = "tokens") -> DataFrame:
+    """The heaviest ``topn`` distinct terms of each text ``(key, tokens)`` as a query, with the matches it needs.
 
     Needed matches are a tenth of the terms (half to even), at most three.
     """
-    distinct = token_rows.select(key, "token").distinct()
+    distinct = texts.select(key, F.explode(F.array_distinct(tokens)).alias("token"))
     weighed = distinct.join(stats, "token", "left").withColumn(
         "weight", F.round(raw_term_weight(F.col("token"), F.col("tf"), F.col("df")), 6)
     )
@@ -184,12 +182,12 @@ def paragraph_query(token_rows: DataFrame, stats: DataFrame, key: str, topn: int
     return top.join(needs, key).withColumnRenamed("token", "term")
 
 
-def chunk_keywords(token_rows: DataFrame, stats: DataFrame, total: DataFrame, key: str, topn: int) -> DataFrame:
+def chunk_keywords(texts: DataFrame, stats: DataFrame, total: DataFrame, key: str, topn: int, tokens: str = "tokens") -> DataFrame:
     """The ``topn`` terms of each text by term frequency times ``ln(N / df)``, as a list column.
 
-    ``total`` is the one-row table ``(documents)``.
+    ``texts(key, tokens)`` has one row per text, ``total`` is the one-row table ``(documents)``.
     """
-    tf = token_rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
+    tf = texts.select(key, F.explode(tx.counted(tokens)).alias("e")).select(key, "e.token", F.col("e.n").alias("_n"))
     scored = (
         tf.join(stats.select("token", "df"), "token")
         .withColumn("documents", total.scalar())

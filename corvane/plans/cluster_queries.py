@@ -27,7 +27,26 @@ def h2_cluster_gmm(spark, folder):
 
 @query("h3_cluster_ward")
 def h3_cluster_ward(spark, folder):
-    return cluster.cluster_ward(vectors(spark, folder), 16, 256)
+    """Forty vectors at a time are taken for the chunks of one document."""
+    return cluster.cluster_ward(vectors(spark, folder).withColumn("doc", F.floor(F.col("id") / 40)), 16, "doc")
+
+
+@query("h3_cluster_dataset")
+def h3_cluster_dataset(spark, folder):
+    return cluster.cluster_dataset(vectors(spark, folder), 16)
+
+
+@query("h3_nearest_centre", "SELECT vec_id AS id, true AS nearest FROM embeddings")
+def h3_nearest_centre(spark, folder):
+    """Whether a vector is as near to the mean of its cluster as to any other, within a thousandth, after enough moves."""
+    rows = vectors(spark, folder)
+    labels = cut_lineage(cluster.cluster_dataset(rows, 16, refine=60).join(rows, "id"))
+    means = cluster.mean_vectors(labels, ["cluster"])
+    held = F.array_sort(F.collect_list(F.struct("cluster", F.col("vector").alias("m"))))
+    far = lambda m: F.aggregate(F.zip_with("vector", m, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    every = labels.withColumn("means", means.agg(held.alias("m")).scalar())
+    own = F.filter("means", lambda e: e["cluster"] == F.col("cluster"))
+    return every.select("id", (far(F.get(own, F.lit(0))["m"]) <= F.array_min(F.transform("means", lambda e: far(e["m"]))) + 1e-3).alias("nearest"))
 
 
 @query("h4_summary_layers")

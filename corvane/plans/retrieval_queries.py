@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from corvane.functions import scalars as sc
 from corvane.functions import text as tx
-from corvane.operators import aggregates, filters, joins, ordering, retrieval, terms
+from corvane.operators import aggregates, filters, joins, ordering, postings, retrieval, terms, vector_cells
 from corvane.plans import inputs as inp
-from corvane.plans.registry import query, table
+from corvane.plans.registry import TWINS, query, table
 from corvane.plans.term_sql import CENTROID_SQL, FEATURES_SQL, RETRIEVAL_BASE, bag_sql, text_hits_sql
+from corvane.session import cut_lineage
 from corvane.plans.text_queries import (
     BOOSTS,
     indexed_chunks,
-    question_index,
+    chunk_index,
     question_terms,
     text_base,
     text_hits,
@@ -106,7 +107,7 @@ def first_stage(spark, folder, base, topn=1024):
     chunks, weights = base
     asked = question_terms(weights)
     return retrieval.search(
-        asked, question_vectors(spark, folder), question_index(chunks, asked), chunk_vectors(spark, folder), BOOSTS, topn
+        asked, question_vectors(spark, folder), chunk_index(spark, folder), chunk_vectors(spark, folder), BOOSTS, topn
     )
 
 
@@ -253,7 +254,7 @@ win AS (SELECT query_id, chunk_id, score FROM hits QUALIFY row_number() OVER (PA
 
 
 def top_text_hits(spark, folder, k=70, base=None):
-    return ordering.topk_per_query(text_hits(spark, folder, base).select("query_id", "chunk_id", "score"), k)
+    return ordering.topk_per_query(text_hits(spark, folder, base, k).select("query_id", "chunk_id", "score"), k)
 
 
 @query(
@@ -409,15 +410,43 @@ FROM scored WHERE matched >= greatest(1, floor(n * 0.3)) QUALIFY rank <= 10
 """,
 )
 def r16_message_search(spark, folder):
+    weights, index = asked_messages(spark, folder)
+    hits = retrieval.text_match(weights, index, {"body": 1.0}, 0.3)
+    return ordering.topk_per_query(hits.select("query_id", "chunk_id", "score"), 10).withColumnRenamed("chunk_id", "message_id")
+
+
+def asked_messages(spark, folder):
+    """The question set's terms by their share, and the index of all messages that are still valid."""
     live = filters.valid_messages(inp.messages(spark, folder).withColumn("status", F.lit(1)))
     corpus = live.select(F.col("message_id").alias("chunk_id"), tx.words("content").alias("tokens"))
     asked = inp.questions(spark, folder).select("query_id", F.explode(tx.words("text")).alias("term"))
     counts = asked.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("c"))
     totals = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
     weights = counts.join(totals, "query_id").select("query_id", "term", (F.col("c") / F.col("total")).alias("weight"))
-    index = retrieval.text_index(corpus, {"body": "tokens"}, weights)
-    hits = retrieval.text_match(weights, index, {"body": 1.0}, 0.3)
-    return ordering.topk_per_query(hits.select("query_id", "chunk_id", "score"), 10).withColumnRenamed("chunk_id", "message_id")
+    return weights, postings.build(corpus, {"body": "tokens"})
+
+
+MESSAGE_VECTORS_SQL = """qv AS (SELECT item_id AS query_id, vector FROM benchmark JOIN cen ON label = item_id % 10),
+near AS (SELECT query_id, message_id, score FROM (
+  SELECT query_id, message_id, list_cosine_similarity(vector, CAST(embedding AS DOUBLE[])) AS score,
+    row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(vector, CAST(embedding AS DOUBLE[])), 6) DESC, message_id) AS rank
+  FROM qv, live JOIN messages m USING (message_id) JOIN embeddings ON vec_id = m.memory_id * 5 + m.turn WHERE round(list_cosine_similarity(vector, CAST(embedding AS DOUBLE[])), 6) >= 0.1) WHERE rank <= 10),
+both_ AS (SELECT query_id, message_id, coalesce(t.s, 0) AS text_score, coalesce(n.score, 0) AS vector_score
+  FROM (SELECT query_id, message_id, s FROM scored WHERE matched >= greatest(1, floor(n * 0.3))) t FULL JOIN near n USING (query_id, message_id))
+SELECT query_id, message_id, round(text_score * 0.7 + vector_score * 0.3, 6) AS score,
+  row_number() OVER (PARTITION BY query_id ORDER BY round(text_score * 0.7 + vector_score * 0.3, 6) DESC, message_id) AS rank
+FROM both_ QUALIFY rank <= 10"""
+_MESSAGES_TEXT_SQL = TWINS["r16_message_search"]
+
+
+@query("r16_message_hybrid", _MESSAGES_TEXT_SQL[: _MESSAGES_TEXT_SQL.rindex("SELECT query_id, message_id, round(s, 6)")].rstrip() + f",\n{CENTROID_SQL.split('qvec AS')[0].rstrip().rstrip(',')},\n{MESSAGE_VECTORS_SQL}")
+def r16_message_hybrid(spark, folder):
+    """Words at 0.7 and vectors at the rest; a message's vector is the one of its memory and turn."""
+    weights, index = asked_messages(spark, folder)
+    live = filters.valid_messages(inp.messages(spark, folder).withColumn("status", F.lit(1)))
+    vectors = live.select(F.col("message_id").alias("chunk_id"), (F.col("memory_id") * 5 + F.col("turn")).alias("vec_id")).join(table(spark, folder, "embeddings"), "vec_id")
+    hits = retrieval.hybrid_match(weights, question_vectors(spark, folder), index, vectors.select("chunk_id", "embedding"), {"body": 1.0}, 10, text_weight=0.7)
+    return hits.select("query_id", F.col("chunk_id").alias("message_id"), "score", "rank")
 
 
 @query(
@@ -439,6 +468,13 @@ FROM r WHERE matched >= 1 QUALIFY rank <= 10
 """,
 )
 def r15_skill_search(spark, folder):
+    asked, index = asked_skills(spark, folder)
+    hits = retrieval.hybrid_match(asked, asked, index, asked, {"name": 3.0, "body": 1.0}, 10, mode="keyword")
+    return hits.withColumnRenamed("chunk_id", "p_partkey")
+
+
+def asked_skills(spark, folder):
+    """Terms that name a nation and a kind of part, and the index of the catalogue."""
     catalogue = table(spark, folder, "part").select(
         F.col("p_partkey").alias("chunk_id"),
         tx.words("p_name").alias("name"),
@@ -451,6 +487,100 @@ def r15_skill_search(spark, folder):
         ).alias("term"),
         F.lit(1.0).alias("weight"),
     )
-    index = retrieval.text_index(catalogue, {"name": "name", "body": "body"}, asked)
-    hits = retrieval.text_match(asked, index, {"name": 3.0, "body": 1.0}, 0.3)
-    return ordering.topk_per_query(hits.select("query_id", "chunk_id", "score"), 10).withColumnRenamed("chunk_id", "p_partkey")
+    return asked, postings.build(catalogue, {"name": "name", "body": "body"})
+
+
+_SKILLS_SQL = TWINS["r15_skill_search"]
+_SKILLS_HEAD = _SKILLS_SQL[: _SKILLS_SQL.rindex("SELECT CAST(query_id AS BIGINT)")].rstrip()
+# nations of even key ask with the mean vector of a label; the others have no vector
+SKILL_NEAR_SQL = f"""{CENTROID_SQL.split('qvec AS')[0].rstrip().rstrip(',')},
+sv AS (SELECT n_nationkey AS query_id, vector FROM nation JOIN cen ON label = n_nationkey % 10 WHERE n_nationkey % 2 = 0),
+sims AS (SELECT query_id, vec_id AS p_partkey, list_cosine_similarity(vector, CAST(embedding AS DOUBLE[])) AS score FROM sv, embeddings JOIN part ON p_partkey = vec_id),
+near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, p_partkey) AS rank FROM sims WHERE round(score, 6) >= 0.1 QUALIFY rank <= 10)"""
+
+
+def skill_vectors(spark, folder):
+    """Vectors of the nations of even key, and of the parts that have one."""
+    nations = table(spark, folder, "nation").filter("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("query_id"), (F.col("n_nationkey") % 10).cast("int").alias("label"))
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("vec_id")).join(table(spark, folder, "embeddings"), "vec_id")
+    return nations.join(centroids(spark, folder), "label").select("query_id", "vector"), parts.select(F.col("vec_id").alias("chunk_id"), "embedding")
+
+
+def skills(spark, folder, mode):
+    asked, index = asked_skills(spark, folder)
+    queries, vectors = skill_vectors(spark, folder)
+    hits = retrieval.hybrid_match(asked, queries, index, vectors, {"name": 3.0, "body": 1.0}, 10, mode=mode, fall_back=True)
+    return hits.select("query_id", F.col("chunk_id").alias("p_partkey"), "score", "rank")
+
+
+@query(
+    "r15_skill_vector",
+    f"""{_SKILLS_HEAD}, {SKILL_NEAR_SQL},
+words AS (SELECT query_id, p_partkey, round(greatest(sn, sb), 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(greatest(sn, sb), 6) DESC, p_partkey) AS rank
+  FROM r WHERE query_id NOT IN (SELECT query_id FROM near) QUALIFY rank <= 10)
+SELECT CAST(query_id AS BIGINT) AS query_id, p_partkey, round(score, 6) AS score, rank FROM near UNION ALL SELECT CAST(query_id AS BIGINT), p_partkey, score, rank FROM words""",
+)
+def r15_skill_vector(spark, folder):
+    """By meaning; nations without a vector fall back to words."""
+    return skills(spark, folder, "vector")
+
+
+@query(
+    "r15_skill_hybrid",
+    f"""{_SKILLS_HEAD}, {SKILL_NEAR_SQL},
+mixed AS (SELECT query_id, p_partkey, round(coalesce(greatest(sn, sb), 0) * 0.3 + coalesce(near.score, 0) * 0.7, 6) AS score FROM r FULL JOIN near USING (query_id, p_partkey))
+SELECT CAST(query_id AS BIGINT) AS query_id, p_partkey, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, p_partkey) AS rank FROM mixed QUALIFY rank <= 10""",
+)
+def r15_skill_hybrid(spark, folder):
+    return skills(spark, folder, "hybrid")
+
+
+@query(
+    "r2_vector_cells",
+    VECTOR_HITS_SQL + "SELECT CAST(query_id AS BIGINT) AS query_id, chunk_id, score, rank FROM vhits WHERE rank <= 20",
+)
+def r2_vector_cells(spark, folder):
+    """The exact result out of the stored cells."""
+    store = vector_cells.build_cells(item_vectors(spark, folder))
+    return vector_cells.cell_match(label_queries(spark, folder), store, 20, 0.1)
+
+
+@query("r3_cell_recall", "SELECT CAST(label AS BIGINT) AS query_id, 10 AS found, true AS enough FROM embeddings GROUP BY label")
+def r3_cell_recall(spark, folder):
+    """Per question the length of its list, and whether at least 95 in 100 of the nearest are found over all questions.
+
+    The given vectors spread over all directions, so nine cells in ten have to be probed for that.
+    """
+    queries, vectors = label_queries(spark, folder), item_vectors(spark, folder)
+    store = vector_cells.build_cells(vectors)
+    near = cut_lineage(vector_cells.cell_match(queries, store, 10, probes=max(1, -(-9 * len(store.sizes) // 10))).select("query_id", "chunk_id", F.lit(1).alias("found")))
+    exact = retrieval.vector_match(queries, vectors, 10).select("query_id", "chunk_id")
+    share = exact.join(near, ["query_id", "chunk_id"], "left").agg((F.count("found") / F.count(F.lit(1)) >= 0.95).alias("enough"))
+    lists = near.groupBy("query_id").agg(F.count(F.lit(1)).alias("found"))
+    return lists.withColumn("enough", share.scalar())
+
+
+GIVEN_SQL = "given AS (SELECT item_id AS query_id, chunk_id FROM benchmark JOIN chunks ON doc_id % 60 = item_id % 60 WHERE item_id % 2 = 0)"
+
+
+@query(
+    "r10_search_given",
+    FIRST_STAGE_SQL.replace(
+        "sblend AS (",
+        GIVEN_SQL + ",\nbound AS (SELECT DISTINCT query_id FROM given),\nkept AS (SELECT * FROM strict ANTI JOIN bound USING (query_id) UNION ALL SELECT * FROM strict SEMI JOIN given USING (query_id, chunk_id)),\nsblend AS (",
+    )
+    .replace("FROM strict LEFT JOIN qvec", "FROM kept LEFT JOIN qvec")
+    .replace("FROM qterms ANTI JOIN strict USING (query_id))", "FROM qterms ANTI JOIN kept USING (query_id) ANTI JOIN bound USING (query_id))")
+    + """,
+plain AS (SELECT query_id, chunk_id, 0.0::DOUBLE AS cosine, 0.0::DOUBLE AS score, row_number() OVER (PARTITION BY query_id ORDER BY chunk_id) AS rank FROM given ANTI JOIN kept USING (query_id))
+SELECT query_id, chunk_id, score, round(cosine, 6) AS cosine, rank FROM found UNION ALL SELECT query_id, chunk_id, score, cosine, rank FROM plain WHERE rank <= 1024""",
+)
+def r10_search_given(spark, folder):
+    """Questions of even number are asked about some documents only."""
+    chunks, weights = text_base(spark, folder)
+    asked = question_terms(weights)
+    even = inp.questions(spark, folder).filter("query_id % 2 = 0").select("query_id", (F.col("query_id") % 60).alias("m"))
+    given = chunks.withColumn("m", F.col("doc_id") % 60).join(even, "m").select("query_id", "chunk_id")
+    return retrieval.search(
+        asked, question_vectors(spark, folder), chunk_index(spark, folder), chunk_vectors(spark, folder), BOOSTS, 1024, given=given
+    )

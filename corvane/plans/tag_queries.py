@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corvane.functions import text as tx
-from corvane.operators import aggregates, evaluation, joins, retrieval, tagging, terms
+from corvane.operators import aggregates, evaluation, joins, postings, retrieval, tagging, terms
 from corvane.plans import inputs as inp
 from corvane.plans.registry import query, table
 from corvane.plans.retrieval_queries import TEXT_HITS_SQL, question_vectors, chunk_vectors, top_text_hits
 from corvane.plans.term_sql import FEATURES_SQL, QUERY_WEIGHTS_SQL, STATS_SQL
-from corvane.plans.text_queries import PARAGRAPH_SQL, corpus_statistics, paragraphs, question_terms, question_weights, text_base
+from corvane.plans.text_queries import PARAGRAPH_SQL, corpus_statistics, paragraphs, question_terms, question_weights, stored, text_base
 from corvane.session import cut_lineage
 
 def tagged_sql(smoothing):
@@ -26,11 +26,12 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY score DESC, tag)
 
 
 def tagged_corpus(spark, folder, smoothing=1000):
-    """Labelled documents carry their source as tag."""
+    """Labelled documents carry their source as tag: the portions of the tags and the stored index."""
     docs = table(spark, folder, "documents").join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
     tags = docs.select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("tag"))
-    index = docs.select(F.col("doc_id").alias("chunk_id"), F.explode(F.array_distinct(tx.words("text"))).alias("term"))
-    return tags, aggregates.tag_portions(tags, smoothing), index
+    tagged = docs.select(F.col("doc_id").alias("chunk_id"), F.array("source").alias("tags"), F.array_distinct(tx.words("text")).alias("terms"))
+    index = stored(spark, folder, "tagged", lambda: postings.build(tagged, {"text": "terms"}, carry=["tags"]))
+    return aggregates.tag_portions(tags, smoothing), index
 
 
 @query(
@@ -43,9 +44,9 @@ SELECT doc_id, tag, score, rank FROM rk WHERE rank <= 3 AND score > 0
 """,
 )
 def m1_tag_chunks(spark, folder):
-    tags, portions, index = tagged_corpus(spark, folder, 1)
+    portions, index = tagged_corpus(spark, folder, 1)
     needs = cut_lineage(paragraphs(spark, folder).select("doc_id", "term", "need"))
-    return tagging.tag_chunks(needs, index, tags, portions, "doc_id", smoothing=1)
+    return tagging.tag_chunks(needs, index, portions, "doc_id", smoothing=1)
 
 
 @query(
@@ -58,8 +59,8 @@ SELECT query_id, tag, greatest(score, 1.0) AS score, rank FROM rk WHERE rank <=
 """,
 )
 def m2_tag_queries(spark, folder):
-    tags, portions, index = tagged_corpus(spark, folder)
-    return tagging.tag_queries(question_terms(question_weights(spark, folder)), index, tags, portions)
+    portions, index = tagged_corpus(spark, folder)
+    return tagging.tag_queries(question_terms(question_weights(spark, folder)), index, portions)
 
 
 @query(

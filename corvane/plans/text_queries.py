@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corvane.functions import text as tx
-from corvane.operators import ordering, retrieval, terms
+from corvane.operators import ordering, postings, retrieval, terms
 from corvane.plans import inputs as inp
 from corvane.plans.registry import query, table
 from corvane.session import cut_lineage
@@ -15,21 +15,34 @@ FIELDS = {"content": "tokens", "title": "title_tokens"}
 BOOSTS = {"content": 2.0, "title": 10.0}
 
 
+_STORES: dict[tuple, object] = {}
+
+
+def stored(spark, folder, name, make):
+    """What ``make`` writes for the documents of the folder: once for a session and as long as their files are the same."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/documents.parquet")
+    seen = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"), F.sum(F.crc32(F.col("path").cast("binary")))).first()
+    mark = (spark.sparkContext.applicationId, name, folder, *seen)
+    if mark not in _STORES:
+        _STORES[mark] = make()
+    return _STORES[mark]
+
+
+def document_words(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", tx.words("text").alias("tokens"))
+
+
 def corpus_statistics(spark, folder, vocabulary=None):
-    docs = table(spark, folder, "documents").select("doc_id", tx.words("text").alias("tokens"))
-    return terms.document_frequency(docs, "doc_id", vocabulary=vocabulary)
+    stats = stored(spark, folder, "statistics", lambda: cut_lineage(terms.document_frequency(document_words(spark, folder), "doc_id")))
+    return stats if vocabulary is None else stats.join(vocabulary.select("token").distinct(), "token", "left_semi")
 
 
-def question_weights(spark, folder, chunks=None):
+def question_weights(spark, folder):
     """Term weights of the question set, from the corpus statistics of its own words."""
     rows = terms.explode_tokens(
         inp.questions(spark, folder).select("query_id", tx.words(tx.normalize_query("text")).alias("tokens")), "query_id"
     )
-    if chunks is None:
-        stats = corpus_statistics(spark, folder, rows)
-    else:
-        stats = terms.document_frequency(chunks, "doc_id", vocabulary=rows)
-    return cut_lineage(terms.term_weights(rows, stats, "query_id"))
+    return cut_lineage(terms.term_weights(rows, corpus_statistics(spark, folder, rows), "query_id"))
 
 
 def question_terms(weights):
@@ -57,23 +70,19 @@ def indexed_chunks(spark, folder):
 
 
 def text_base(spark, folder):
-    """What every text query starts from: the chunk table and the weights of the questions.
-
-    A document's words are the words of its chunks, so the statistics come from the chunk table as well.
-    """
-    chunks = indexed_chunks(spark, folder)
-    return chunks, question_weights(spark, folder, chunks)
+    """What every text query starts from: the stored chunk table and the weights of the questions."""
+    return stored(spark, folder, "chunks", lambda: indexed_chunks(spark, folder)), question_weights(spark, folder)
 
 
-def question_index(chunks, asked):
-    return retrieval.text_index(chunks, FIELDS, asked)
+def chunk_index(spark, folder):
+    """The stored index of the chunks, which all text queries read."""
+    return stored(spark, folder, "index", lambda: postings.build(text_base(spark, folder)[0], FIELDS))
 
 
-def text_hits(spark, folder, base=None):
+def text_hits(spark, folder, base=None, topn=None):
     """Text hits of the question set."""
-    chunks, weights = text_base(spark, folder) if base is None else base
-    asked = question_terms(weights)
-    return retrieval.text_match(asked, question_index(chunks, asked), BOOSTS, 0.3)
+    weights = (text_base(spark, folder) if base is None else base)[1]
+    return retrieval.text_match(question_terms(weights), chunk_index(spark, folder), BOOSTS, 0.3, topn)
 
 
 @query(
@@ -93,7 +102,7 @@ def k1_tokenize(spark, folder):
 
 @query("k2_document_frequency", f"WITH {STATS_SQL} SELECT token, df, tf FROM stats")
 def k2_document_frequency(spark, folder):
-    return corpus_statistics(spark, folder)
+    return terms.document_frequency(document_words(spark, folder), "doc_id")
 
 
 @query(
@@ -160,8 +169,7 @@ para AS (SELECT doc_id, term, weight, rank, CAST(least(3, round_even(count(*) OV
 
 
 def paragraphs(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", tx.words("text").alias("tokens"))
-    return terms.paragraph_query(terms.explode_tokens(docs, "doc_id"), corpus_statistics(spark, folder), "doc_id")
+    return terms.paragraph_query(document_words(spark, folder), corpus_statistics(spark, folder), "doc_id")
 
 
 @query("k6_paragraph_query", f"WITH {STATS_SQL}, {PARAGRAPH_SQL} SELECT doc_id, term, weight, rank, need FROM para")
@@ -180,11 +188,9 @@ SELECT doc_id, string_agg(token, ',' ORDER BY rank) AS keywords FROM r WHERE ran
 """,
 )
 def k7_chunk_keywords(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", tx.words("text").alias("tokens"))
+    docs = document_words(spark, folder)
     total = docs.agg(F.count(F.lit(1)).alias("documents"))
-    words = terms.chunk_keywords(
-        terms.explode_tokens(docs, "doc_id"), corpus_statistics(spark, folder), total, "doc_id", 5
-    )
+    words = terms.chunk_keywords(docs, corpus_statistics(spark, folder), total, "doc_id", 5)
     return words.select("doc_id", F.array_join("keywords", ",").alias("keywords"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from corvane.functions import scalars as sc
 from corvane.functions import text as tx
-from corvane.operators import aggregates, chunking, cluster, filters, graph, graph_algorithms, joins, memory, ordering, retrieval, tables, tagging, terms
+from corvane.operators import aggregates, chunking, cluster, filters, graph, graph_algorithms, joins, memory, ordering, postings, retrieval, tables, tagging, terms
 from corvane.operators.scans import running_total
 from corvane.sources import store
 from corvane.streaming import ingest
@@ -172,7 +172,7 @@ def test_text_match_is_exact(spark):
     asked = [(q, w, 1.0 / len(ws)) for q in range(12) for ws in [set(rng.choices(words, weights, k=14))] for w in ws]
     table = spark.createDataFrame(chunks, "chunk_id string, tokens array<string>")
     terms_df = spark.createDataFrame(asked, "query_id int, term string, weight double")
-    index = retrieval.text_index(table, {"t": "tokens"}, terms_df)
+    index = postings.build(table, {"t": "tokens"}, block_rows=16)
     got = {(r.query_id, r.chunk_id): (r.matched, r.score) for r in retrieval.text_match(terms_df, index, {"t": 2.0}, 0.4).collect()}
     df = {w: sum(w in t for _, t in chunks) for w in words}
     average = sum(len(t) for _, t in chunks) / len(chunks)
