@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from corvane.functions import scalars as sc
 from corvane.functions import text as tx
-from corvane.operators.scans import running_total
+from corvane.operators.scans import range_total, ranked
+from corvane.session import cut_lineage
 
 
 def terms_count(df: DataFrame, field: str) -> DataFrame:
@@ -138,6 +139,50 @@ def approx_usage(conversations: DataFrame, error: float = 0.02) -> DataFrame:
     )
 
 
+def usage_sketches(conversations: DataFrame, log_size: int = 12) -> DataFrame:
+    """Per day: conversations, a sketch of the distinct users and one of the durations, to be stored and merged.
+
+    ``users`` is a HyperLogLog sketch of 2^``log_size`` registers, ``durations`` a quantile sketch; both have a size
+    that does not grow with the rows. The same aggregation serves batches and streams.
+    """
+    return conversations.groupBy(F.to_date("created_at").alias("day")).agg(*usage_sketch_columns(log_size))
+
+
+def usage_sketch_columns(log_size: int = 12) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("pv"),
+        F.hll_sketch_agg("user_id", log_size).alias("users"),
+        F.kll_sketch_agg_double(F.col("duration").cast("double")).alias("durations"),
+    ]
+
+
+def merge_usage(sketches: DataFrame, span: Column, percentiles: Sequence[int] = (50, 90)) -> DataFrame:
+    """Usage over longer spans out of stored days: ``span``, conversations, estimated users, duration percentiles.
+
+    Users seen on several days of a span count once, which sums of daily numbers cannot do. Relative error of ``users``:
+    1.04 / sqrt(registers); error of a percentile's rank: about one and a half in a hundred.
+    """
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("day", "durations"))), lambda e: e["durations"])
+    merged = sketches.groupBy(span.alias("span")).agg(F.sum("pv").alias("pv"), F.hll_union_agg("users").alias("users"), parts.alias("parts"))
+    whole = F.aggregate(F.slice("parts", F.lit(2), F.size("parts")), F.get("parts", F.lit(0)), lambda a, b: F.kll_sketch_merge_double(a, b))
+    return merged.withColumn("_whole", whole).select(
+        "span", "pv", F.hll_sketch_estimate("users").alias("users"),
+        *[F.kll_sketch_get_quantile_double("_whole", F.lit(p / 100)).alias(f"p{p}") for p in percentiles],
+    )
+
+
+def item_rows(df: DataFrame, keys: Sequence[str], item: str, order: Sequence[Column | str] | None = None) -> DataFrame:
+    """The long form of a list column: ``keys, position, item`` with positions from 0, for keys of any number of items.
+
+    Without ``order`` the items are distinct and in their own order, as in the lists; with one, all rows count.
+    """
+    named = [F.col(k) for k in keys]
+    rows = df.filter(F.col(item).isNotNull())
+    rows = rows.select(*named, item).distinct() if order is None else rows
+    placed = ranked(rows, keys, [item] if order is None else order, "_place")
+    return placed.select(*named, (F.col("_place") - 1).alias("position"), F.col(item).alias("item"))
+
+
 def dataset_totals(documents: DataFrame) -> DataFrame:
     """Documents, chunks, tokens and bytes per dataset."""
     return documents.groupBy("dataset_id").agg(
@@ -149,27 +194,29 @@ def dataset_totals(documents: DataFrame) -> DataFrame:
 
 
 def folder_sizes(folders: DataFrame, files: DataFrame) -> DataFrame:
-    """Total size below each folder; ``folders(folder_id, parent_id)``, ``files(folder_id, size)``.
+    """Total size of each folder with all below it; ``folders(folder_id, parent_id)``, ``files(folder_id, size)``.
 
-    File sizes are summed per folder first, so the ancestor closure works on folders only.
+    Pointer doubling: after k rounds a folder's sum holds all that lies less than 2^k levels below it, and its pointer
+    leads 2^k levels up; every round adds each sum to the folder pointed at and doubles the pointers, so rounds grow
+    with the logarithm of the depth. A root is its own parent, has none, or names one that is no folder. Files of
+    unknown folders are left out; folders that lie in each other raise ``ValueError``.
     """
-    direct = files.groupBy("folder_id").agg(F.sum("size").alias("size"))
-    closure = files.sparkSession.sql(
-        """
-        WITH RECURSIVE above(folder_id, ancestor) AS (
-          SELECT folder_id, folder_id FROM {folders}
-          UNION ALL
-          SELECT a.folder_id, f.parent_id FROM above a JOIN {folders} f ON f.folder_id = a.ancestor
-          WHERE f.parent_id IS NOT NULL AND f.parent_id <> f.folder_id)
-        SELECT folder_id, ancestor FROM above
-        """,
-        folders=folders.select("folder_id", "parent_id"),
-    )
-    return (
-        closure.join(direct, "folder_id", "left")
-        .groupBy(F.col("ancestor").alias("folder_id"))
-        .agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"))
-    )
+    direct = files.groupBy(F.col("folder_id").alias("_in")).agg(F.sum("size").alias("size"))
+    up = F.when(F.col("parent_id") != F.col("folder_id"), F.col("parent_id"))
+    own = folders.select("folder_id", up.alias("up")).join(direct, F.col("folder_id") == F.col("_in"), "left")
+    state = cut_lineage(own.select("folder_id", "up", F.coalesce("size", F.lit(0)).alias("size")))
+    rounds = max(1, state.count()).bit_length() + 1
+    for _ in range(rounds):
+        open_ = state.filter("up IS NOT NULL")
+        if open_.isEmpty():
+            return state.select("folder_id", "size")
+        gains = open_.groupBy(F.col("up").alias("_to")).agg(F.sum("size").alias("_gain"))
+        above = state.select(F.col("folder_id").alias("_of"), F.col("up").alias("_up"))
+        moved = state.join(above, F.col("up") == F.col("_of"), "left").join(gains, F.col("folder_id") == F.col("_to"), "left")
+        state = cut_lineage(moved.select("folder_id", F.col("_up").alias("up"), (F.col("size") + F.coalesce("_gain", F.lit(0))).alias("size")))
+    if state.filter("up IS NOT NULL").isEmpty():
+        return state.select("folder_id", "size")
+    raise ValueError("some folders lie in each other")
 
 
 def message_size(content: Column, vector: Column | None = None) -> Column:
@@ -316,13 +363,11 @@ def evaluation_summary(results: DataFrame) -> DataFrame:
 def latency_summary(samples: DataFrame, percentiles: Sequence[int] = (50, 90, 95)) -> DataFrame:
     """Per group: count, mean, least, greatest and nearest-rank percentiles of ``value``.
 
-    Values are counted first, then their running count finds the rank, in value buckets of width one, so a group
-    holding most of the rows is not sorted in one task.
+    Values are counted first, then their running count over sampled ranges finds the rank, so a group holding most of
+    the rows, or all of its values close together, is not sorted in one task.
     """
     counts = samples.groupBy("group", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_total(
-        counts.withColumn("_bucket", F.floor("value")), ["group"], ["_bucket"], ["value"], "n", "upto"
-    )
+    upto = range_total(counts, ["group"], ["value"], "n", "upto")
     totals = samples.groupBy("group").agg(
         F.count(F.lit(1)).alias("count"),
         F.avg("value").alias("avg"),
@@ -331,7 +376,7 @@ def latency_summary(samples: DataFrame, percentiles: Sequence[int] = (50, 90, 95
     )
     rank = lambda p: F.greatest(F.ceil(F.col("count") * p / 100.0), F.lit(1))
     picks = [F.min(F.when(F.col("upto") >= rank(p), F.col("value"))).alias(f"p{p}") for p in percentiles]
-    at_rank = ranked.join(totals.select("group", "count"), "group").groupBy("group").agg(*picks)
+    at_rank = upto.join(totals.select("group", "count"), "group").groupBy("group").agg(*picks)
     return totals.join(at_rank, "group")
 
 

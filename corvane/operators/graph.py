@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as tx
-from corvane.operators import aggregates, ordering, sets
+from corvane.operators import aggregates, ordering, scans, sets
 
 # Separators of the extraction and decision formats.
 RECORD_SEPARATOR, FIELD_SEPARATOR = "##", "<|>"
@@ -123,17 +123,22 @@ def build_graph(entities: DataFrame, relations: DataFrame) -> tuple[DataFrame, D
 def merge_graphs(
     first: tuple[DataFrame, DataFrame], second: tuple[DataFrame, DataFrame]
 ) -> tuple[DataFrame, DataFrame]:
-    """Second graph merged into the first: descriptions appended, weights added, touched rows marked ``changed``.
+    """Second graph merged into the first: descriptions and lists appended, weights added, touched rows ``changed``.
 
-    Both hold one row per vertex ``(name, type, description)`` and per edge ``(src, dst, weight, description)``.
+    Both hold one row per vertex ``(name, type, description)`` and per edge ``(src, dst, weight, description)``; array
+    columns that both have, such as ``keywords`` and ``source_ids``, are put one after the other.
     """
     stacked = lambda i: first[i].withColumn("_g", F.lit(0)).unionByName(second[i].withColumn("_g", F.lit(1)))
-    text = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("_g", "description"))), lambda e: e["description"]), DESCRIPTION_SEPARATOR
-    ).alias("description")
+    in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("_g", c))), lambda e: e[c])
+    text = F.array_join(in_order("description"), DESCRIPTION_SEPARATOR).alias("description")
     changed = (F.max("_g") == 1).alias("changed")
-    vertices = stacked(0).groupBy("name").agg(F.min_by("type", "_g").alias("type"), text, changed)
-    edges = stacked(1).groupBy("src", "dst").agg(F.sum("weight").alias("weight"), text, changed)
+
+    def lists(i: int) -> list[Column]:
+        both = [c for c, t in first[i].dtypes if t.startswith("array") and dict(second[i].dtypes).get(c) == t]
+        return [F.flatten(in_order(c)).alias(c) for c in both]
+
+    vertices = stacked(0).groupBy("name").agg(F.min_by("type", "_g").alias("type"), text, changed, *lists(0))
+    edges = stacked(1).groupBy("src", "dst").agg(F.sum("weight").alias("weight"), text, changed, *lists(1))
     return vertices, edges
 
 
@@ -396,9 +401,11 @@ def community_tables(members: DataFrame, edges: DataFrame, limit: int | None = N
     kept = members.join(sizes, "community")
     end = lambda c: kept.select("community", F.col("name").alias(c))
     inner = edges.join(end("src"), "src").join(end("dst"), ["community", "dst"])
-    place = F.row_number().over(Window.partitionBy("community").orderBy(F.col("weight").desc(), "src", "dst"))
-    ranked = inner.withColumn("place", place)
-    return kept, ranked if limit is None else ranked.filter(F.col("place") <= limit)
+    order = [F.col("weight").desc(), F.col("src"), F.col("dst")]
+    if limit is None:
+        return kept, scans.ranked(inner, ["community"], order, "place")
+    place = F.row_number().over(Window.partitionBy("community").orderBy(*order))
+    return kept, inner.withColumn("place", place).filter(F.col("place") <= limit)
 
 
 def parse_reports(responses: DataFrame, key: str = "community", response: str = "response") -> DataFrame:
@@ -426,9 +433,26 @@ def community_lookup(wanted: DataFrame, members: DataFrame, weights: DataFrame,
 
 
 def entity_rows(vertices: DataFrame, paths: DataFrame | None = None) -> DataFrame:
-    """Vertices as searchable rows: key, type, a JSON text."""
+    """Vertices as searchable rows: key, type, a JSON text, and with ``paths(path, weights)`` those that start there.
+
+    ``paths`` is then a JSON list in order of the path, null for a vertex that starts none.
+    """
     body = F.to_json(F.struct("name", "type", "description", "rank"))
-    return vertices.select(tx.stable_id(F.lit("entity"), F.col("name")).alias("row_id"), "name", "type", body.alias("content"))
+    rows = vertices.select(tx.stable_id(F.lit("entity"), F.col("name")).alias("row_id"), "name", "type", body.alias("content"))
+    if paths is None:
+        return rows
+    entry = F.struct("path", "weights")
+    listed = F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(F.array_join("path", ">").alias("k"), entry.alias("e")))), lambda x: x["e"]))
+    return rows.join(paths.groupBy(F.get("path", F.lit(0)).alias("name")).agg(listed.alias("paths")), "name", "left")
+
+
+def relations_by_vector(queries: DataFrame, relations: DataFrame, topn: int, min_sim: float) -> DataFrame:
+    """Relations nearest to each question's vector ``(query_id, src, dst, score, rank)``; ``relations(src, dst, embedding)``."""
+    from corvane.operators.retrieval import vector_match
+
+    named = relations.select(F.concat_ws("\u0001", "src", "dst").alias("chunk_id"), "src", "dst", "embedding")
+    found = vector_match(queries, named.select("chunk_id", "embedding"), topn, min_sim)
+    return found.join(named.select("chunk_id", "src", "dst"), "chunk_id").select("query_id", "src", "dst", "score", "rank")
 
 
 def relation_rows(edges: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.operators import scans
 from corvane.operators.scans import ordinal, running_total
 
 
@@ -46,8 +47,10 @@ def topk_per_query(df: DataFrame, k: int, score: str = "score", tie: str = "chun
 
 
 def rank_hits(hits: DataFrame, candidates: int | None = None) -> DataFrame:
-    """Descending stable rank per query over its candidate window."""
-    return topk_per_query(hits, candidates if candidates is not None else 2**31 - 1)
+    """Descending stable rank per query over its candidate window, or over all of its hits, however many."""
+    if candidates is not None:
+        return topk_per_query(hits, candidates)
+    return scans.ranked(hits, ["query_id"], [F.round("score", 6).desc(), F.col("chunk_id")])
 
 
 def nth(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:

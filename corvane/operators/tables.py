@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import scalars as sc
 from corvane.functions import text as tx
-from corvane.operators import ordering
+from corvane.operators import scans
 from corvane.operators.scans import running_total
 
 # Key columns left out of row chunks, cell patterns of each type, and the order that settles ties.
@@ -190,8 +190,8 @@ def index_columns(chunks: DataFrame) -> DataFrame:
 
 
 def batch_table_rows(rows: DataFrame, order: str, line: str, n: int = 10, separator: str = "; ") -> DataFrame:
-    """``n`` table rows per chunk, in the order of an integer column, over the whole table."""
-    placed = ordering.number_rows(rows.select(order, line), order)
+    """``n`` table rows per chunk, in the order of a column, over the whole table."""
+    placed = scans.ranked(rows.select(order, line), [], [order], "_place").withColumn("position", F.col("_place") - 1)
     return placed.groupBy(F.floor(F.col("position") / n).alias("chunk")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", F.col(line).alias("s")))), lambda e: e["s"]), separator).alias("content")
     )

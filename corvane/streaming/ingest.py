@@ -89,6 +89,18 @@ def usage_stats_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def usage_sketch_stream(events: DataFrame, target: str, checkpoint: str) -> None:
+    """Days with their sketches of users and durations, in a state that does not grow with the rows.
+
+    Every batch replaces the whole table of days, so a replay changes nothing; ``merge_usage`` reads it.
+    """
+    from corvane.operators.aggregates import usage_sketches
+
+    grown = usage_sketches(events).writeStream.outputMode("complete")
+    write = lambda rows, n: rows.write.mode("overwrite").parquet(target)
+    grown.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def prune_stream(snapshots: DataFrame, existing: Callable[[], DataFrame], removed: str, checkpoint: str, key: str = "doc_id") -> None:
     """For each arriving snapshot, the stored documents it no longer lists."""
     run_available(
