@@ -25,7 +25,7 @@ TEXT = "src string, dst string, description string, keywords string, source_id s
 class GraphStore:
     """A graph in ``folder`` of ``cuts`` cuts; ``tolerance`` bounds every residual, ``stride`` steps are one job."""
 
-    def __init__(self, spark: SparkSession, folder: str, cuts: int = 16, damping: float = 0.85, tolerance: float = 2e-7, stride: int = 6):
+    def __init__(self, spark: SparkSession, folder: str, cuts: int = 16, damping: float = 0.85, tolerance: float = 2e-7, stride: int = 16):
         self.spark, self.folder, self.cuts = spark, folder.rstrip("/"), cuts
         self.damping, self.tolerance, self.stride = damping, tolerance, stride
 
