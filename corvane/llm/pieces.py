@@ -181,8 +181,11 @@ def _expand(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndar
     return flat[np.repeat(starts - (total - counts), counts) + np.arange(total[-1])]
 
 
-def sample_block(part: blocks.Texts, seeds: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of sampled segmentations of the texts of a block, and where each text's begin."""
+def sample_block(part: blocks.Texts, seeds: np.ndarray, vocabulary: Vocabulary, lattice_bytes: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of sampled segmentations of the texts of a block, and where each text's begin.
+
+    Lattices are built for about ``lattice_bytes`` of distinct chunks at a time, and one chunk at least.
+    """
     sizes = np.diff(part.bounds)
     extra = (sizes > 0).astype(np.int64)  # a space stands before every text that is not empty
     bounds = np.concatenate([[0], np.cumsum(sizes + extra)]).astype(np.int64)
@@ -192,15 +195,34 @@ def sample_block(part: blocks.Texts, seeds: np.ndarray, vocabulary: Vocabulary)
     starts, ends = _chunks(data, bounds)
     row = np.searchsorted(bounds, starts, side="right") - 1
     _, chosen, chunk = np.unique(blocks.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    lot = np.cumsum(ends[chosen] - starts[chosen]) // lattice_bytes
+    by_lot = np.argsort(lot[chunk], kind="stable") if len(chunk) else np.zeros(0, np.int64)
+    lots, firsts = np.unique(lot, return_index=True)
+    turns = np.searchsorted(lot[chunk][by_lot], np.append(lots, len(lot) + data.size + 1))
+    found = []
+    chunk_tokens = np.zeros(len(chunk), np.int64)
+    for a, b, first, last in zip(turns[:-1], turns[1:], firsts, np.append(firsts[1:], len(lot))):
+        mine = by_lot[a:b]
+        ids, counts = _sampled(data, starts, ends, chosen[first:last], chunk[mine] - first, starts[mine] - bounds[row[mine]], seeds[row[mine]], vocabulary)
+        chunk_tokens[mine] = counts
+        found.append(ids)
+    # the lots' ids stand by lot, those of the block by place
+    flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+    begin = np.zeros(len(chunk), np.int64)
+    begin[by_lot] = np.cumsum(chunk_tokens[by_lot]) - chunk_tokens[by_lot]
+    text_tokens = np.bincount(row, weights=chunk_tokens, minlength=len(part)).astype(np.int64)
+    return _expand(flat, begin, chunk_tokens), np.concatenate([[0], np.cumsum(text_tokens)])
+
+
+def _sampled(data, starts, ends, chosen, chunk, place, seeds, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids drawn for occurrences of some distinct chunks, one occurrence after the other, and their numbers."""
     lattice = Lattice(data, starts[chosen], ends[chosen], vocabulary)
-    edges, counts = lattice.sample(chunk, starts - bounds[row], seeds[row])
+    edges, counts = lattice.sample(chunk, place, seeds)
     spelled = lattice.ids[edges] < 0
     tokens = np.where(spelled, lattice.size[edges], 1)
     flat = np.concatenate([lattice.ids, vocabulary.byte_ids[lattice.body]])
     ids = _expand(flat, np.where(spelled, len(lattice.ids) + lattice.at[edges], edges), tokens)
-    chunk_tokens = np.add.reduceat(tokens, np.cumsum(counts) - counts) if len(tokens) else np.zeros(0, np.int64)
-    text_tokens = np.bincount(row, weights=chunk_tokens, minlength=len(part)).astype(np.int64)
-    return ids, np.concatenate([[0], np.cumsum(text_tokens)])
+    return ids, np.add.reduceat(tokens, np.cumsum(counts) - counts) if len(tokens) else np.zeros(0, np.int64)
 
 
 def decode_ids(ids: np.ndarray, bounds: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
