@@ -482,53 +482,65 @@ def html_tables(pages: DataFrame, size: int = 512, key: str = "page_id", html: s
     )
 
 
-def _json_parts(value, most: int, least: int) -> list[str]:
-    size = lambda v: len(json.dumps(v, ensure_ascii=False))
-    keyed = lambda v: (
-        {str(i): keyed(x) for i, x in enumerate(v)} if isinstance(v, list)
-        else {k: keyed(x) for k, x in v.items()} if isinstance(v, dict) else v
-    )
-    parts = [{}]
-
-    def put(path, item):
-        at = parts[-1]
-        for step in path[:-1]:
-            at = at.setdefault(step, {})
-        at[path[-1]] = item
-
-    def walk(node, path):
-        if not isinstance(node, dict):
-            if path:
-                put(path, node)
-            return
-        for name, item in node.items():
-            held = size(parts[-1])
-            if size({name: item}) < most - held:
-                put([*path, name], item)
-                continue
-            if held >= least:
-                parts.append({})
-            walk(item, [*path, name])
-
-    walk(keyed(value), [])
-    return [json.dumps(p, ensure_ascii=False) for p in parts if p]
-
-
-def _json_chunks(text: str, most: int, least: int) -> list[str]:
-    try:
-        return _json_parts(json.loads(text), most, least)
-    except (TypeError, ValueError):
-        pass
-    lines, good = [s for s in (text or "").splitlines() if s.strip()], []
-    for line in lines:
-        try:
-            good.append(json.loads(line))
-        except ValueError:
-            good.append(None)
-    sample = good[:10]
-    if not sample or sum(g is not None for g in sample) / len(sample) < 0.8:
-        return []
-    return [part for g in good if g is not None for part in _json_parts(g, most, least)]
+def _json_rows(value) -> list[tuple[tuple[str, ...], object]]:
+    """``(path, leaf)`` rows of a JSON value in order; list places are keys, empty containers are leaves."""
+    rows, todo = [], [((), value)]
+    while todo:
+        path, node = todo.pop()
+        inner = enumerate(node) if isinstance(node, list) else node.items() if isinstance(node, dict) else ()
+        below = [((*path, str(key)), child) for key, child in inner]
+        if below:
+            todo.extend(reversed(below))
+        else:
+            rows.append((path, node))
+    return rows
+
+
+def _json_nested(rows: list, depth: int = 0) -> dict:
+    """The object that holds the leaves of consecutive rows at their paths."""
+    out = {}
+    for key, run in groupby(rows, key=lambda row: row[0][depth]):
+        run = list(run)
+        out[key] = run[0][1] if len(run[0][0]) == depth + 1 else _json_nested(run, depth + 1)
+    return out
+
+
+def _json_pack(rows: list, most: int, least: int) -> list[str]:
+    """JSON texts of consecutive rows, packed by size.
+
+    What moves as one is the largest subtree of at most ``most - least`` characters, or a single leaf, so a text that is
+    closed for want of room has ``least`` characters.
+    """
+    sizes = [len(json.dumps(leaf, ensure_ascii=False)) + sum(len(key) + 4 for key in path) for path, leaf in rows]
+    upto = [0, *accumulate(sizes)]
+    units, todo = [], [(0, len(rows), 0)]
+    while todo:
+        first, last, depth = todo.pop()
+        if upto[last] - upto[first] <= most - least and depth or last - first == 1:
+            units.append((first, last))
+            continue
+        runs = [list(run) for _, run in groupby(range(first, last), key=lambda i: rows[i][0][depth])]
+        todo.extend((run[0], run[-1] + 1, depth + 1) for run in reversed(runs))
+    groups = _groups_within([upto[b] - upto[a] for a, b in units], most)
+    packs = [[units[i] for i in run] for _, run in groupby(range(len(units)), key=lambda i: groups[i])]
+    return [json.dumps(_json_nested(rows[pack[0][0] : pack[-1][1]]), ensure_ascii=False) for pack in packs]
+
+
+def _json_chunks(text: str | None, most: int, least: int) -> list[str]:
+    """Texts of one JSON value, or of each line that is one if at least four lines in five are."""
+    values = []
+    for part in ([text], [line for line in (text or "").splitlines() if line.strip()]):
+        values = []
+        for candidate in part:
+            try:
+                values.append(json.loads(candidate))
+            except (TypeError, ValueError):
+                pass
+        if values and 5 * len(values) >= 4 * len(part):
+            break
+        values = []
+    rows = ([row for row in _json_rows(value) if row[0]] for value in values)
+    return [chunk for some in rows if some for chunk in _json_pack(some, most, least)]
 
 
 def json_to_chunks(docs: DataFrame, size: int = 2000, least: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.operators import scans
+
 
 def retrieval_metrics(run: DataFrame, qrels: DataFrame) -> DataFrame:
     """Precision, recall, F1, hit rate and reciprocal rank of every query that has relevant documents.
@@ -73,6 +75,16 @@ def ranked_metrics(run: DataFrame, qrels: DataFrame, ndcg_at: int = 10, map_at:
     )
 
 
+def mean_metrics(metrics: DataFrame, names: Sequence[str] = ("ndcg", "map", "mrr")) -> DataFrame:
+    """One row: number of queries and the mean of each metric."""
+    return metrics.agg(F.count(F.lit(1)).alias("queries"), *[F.avg(n).alias(n) for n in names])
+
+
+def worst_first(metrics: DataFrame, by: str = "ndcg") -> DataFrame:
+    """Queries with their place in the report, the worst first; equal ones by query."""
+    return scans.ranked(metrics, [], [F.round(by, 6), F.col("query_id")], "place")
+
+
 def qrels_from_table(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Corpus and relevance rows of ``(query_id, passages array<string>, selected array<int>)``.
 

@@ -8,7 +8,7 @@ from corvane.functions import sql as sql_functions
 from corvane.functions import text as tx
 from corvane.operators import table_search
 from corvane.plans import inputs as inp
-from corvane.plans.chunk_queries import documents
+from corvane.plans.chunk_queries import CHUNK_DIGEST_SQL, documents, merged_sql, overlapped_sql
 from corvane.plans.registry import query, table
 from corvane.plans.retrieval_queries import centroids
 from corvane.plans.term_sql import CENTROID_SQL, COUNTS_SQL, RAW_WEIGHT_SQL, STATS_SQL
@@ -105,25 +105,6 @@ def r13_sql_term_weight(spark, folder):
     )
 
 
-def merged_sql(limit: float) -> str:
-    """Lines merged until a chunk has passed the limit: ``merged(doc_id, chunk, content)``."""
-    return f"""{inp.LINES_SQL}, t AS (SELECT doc_id, ord, line, {inp.sql_token_count('line')} AS n FROM lines),
-g AS (SELECT doc_id, ord, 0 AS grp, n AS tot FROM t WHERE ord = 0
-  UNION ALL SELECT t.doc_id, t.ord, CASE WHEN g.tot > {limit} THEN grp + 1 ELSE grp END, CASE WHEN g.tot > {limit} THEN t.n ELSE g.tot + t.n END
-  FROM g JOIN t ON t.doc_id = g.doc_id AND t.ord = g.ord + 1),
-merged AS (SELECT doc_id, CAST(grp AS BIGINT) AS chunk, string_agg(chr(10) || line, '' ORDER BY g.ord) AS content FROM g JOIN t USING (doc_id, ord) GROUP BY doc_id, grp)"""
-
-
-def overlapped_sql(overlap: int) -> str:
-    """Each chunk opens with the last share of the one before, which has its own: ``lapped(doc_id, chunk, content)``."""
-    return f"""lapped AS (SELECT doc_id, chunk, content FROM merged WHERE chunk = 0
-  UNION ALL SELECT m.doc_id, m.chunk, substr(l.content, CAST(floor(length(l.content) * {100 - overlap} / 100.0) AS BIGINT) + 1) || m.content
-  FROM lapped l JOIN merged m ON m.doc_id = l.doc_id AND m.chunk = l.chunk + 1)"""
-
-
-CHUNK_DIGEST_SQL = "SELECT doc_id, chunk, md5(content) AS content FROM"
-
-
 @query("c1_split_chunks_lateral", f"WITH RECURSIVE {merged_sql(128 * 0.8)}, {overlapped_sql(20)} {CHUNK_DIGEST_SQL} lapped")
 def c1_split_chunks_lateral(spark, folder):
     """The table function on every document: chunks of 128 tokens with 20 percent overlap."""

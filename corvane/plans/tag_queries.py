@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvane.functions import text as tx
 from corvane.operators import aggregates, evaluation, joins, postings, retrieval, tagging, terms
 from corvane.plans import inputs as inp
-from corvane.plans.registry import query, table
+from corvane.plans.registry import TWINS, query, table
 from corvane.plans.retrieval_queries import TEXT_HITS_SQL, question_vectors, chunk_vectors, top_text_hits
 from corvane.plans.term_sql import FEATURES_SQL, QUERY_WEIGHTS_SQL, STATS_SQL
 from corvane.plans.text_queries import PARAGRAPH_SQL, corpus_statistics, paragraphs, question_terms, question_weights, stored, text_base
@@ -216,6 +216,23 @@ def m12_ranked_metrics(spark, folder):
     return evaluation.ranked_metrics(run, best)
 
 
+_RANKED_SQL = TWINS["m12_ranked_metrics"]
+FULL_RANKED_SQL = _RANKED_SQL.replace("round(coalesce(dcg, 0) / ideal, 6)", "coalesce(dcg, 0) / ideal").replace("round(coalesce(ap, 0) / n, 6)", "coalesce(ap, 0) / n").replace("round(CAST(coalesce(mrr, 0) AS DOUBLE), 6)", "CAST(coalesce(mrr, 0) AS DOUBLE)")
+
+
+@query("m12_mean_metrics", f"SELECT count(*) AS queries, round(avg(ndcg), 6) AS ndcg, round(avg(map), 6) AS map, round(avg(mrr), 6) AS mrr FROM ({FULL_RANKED_SQL})")
+def m12_mean_metrics(spark, folder):
+    run, qrels = run_and_qrels(spark, folder)
+    return evaluation.mean_metrics(evaluation.ranked_metrics(run, qrels.groupBy("query_id", "doc_id").agg(F.max("rel").alias("rel"))))
+
+
+@query("m12_worst_first", f"SELECT query_id, ndcg, row_number() OVER (ORDER BY ndcg, query_id) AS place FROM ({_RANKED_SQL})")
+def m12_worst_first(spark, folder):
+    run, qrels = run_and_qrels(spark, folder)
+    metrics = evaluation.ranked_metrics(run, qrels.groupBy("query_id", "doc_id").agg(F.max("rel").alias("rel")))
+    return evaluation.worst_first(metrics).select("query_id", "ndcg", "place")
+
+
 @query(
     "m13_qrels_from_table",
     """

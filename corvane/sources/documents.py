@@ -156,13 +156,21 @@ def split_delimited(lines: DataFrame, header: Sequence[str], delimiter: str = "\
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = "\t") -> tuple[DataFrame, DataFrame]:
-    """Delimited text with a header line: rows of the header's width, and the rejected lines.
+    """Delimited text files that each begin with the header: rows of the header's width, and the rejected lines.
 
-    The header is the first line of the file; only that line comes to the driver.
+    A file's header is the line at its begin and no other, so data lines that look like it stay. Files whose header is
+    another one than the first file's, by path, have all their lines rejected. One line comes to the driver.
     """
-    lines = spark.read.text(path)
-    first = lines.first()[0]
-    return split_delimited(lines.filter(F.col("value") != first), first.split(delimiter), delimiter)
+    # rows of a split keep their order, so the least number among those of the split at a file's begin is its first line
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    lines = spark.read.text(path).select("value", *place, F.monotonically_increasing_id().alias("id"))
+    heads = lines.filter("start = 0").groupBy("file").agg(F.min("id").alias("first"), F.min_by("value", "id").alias("head"))
+    first = heads.orderBy("file").limit(1).first()
+    header = first["head"] if first else ""
+    placed = lines.join(heads, "file").withColumn("same", F.col("head") == header)
+    rows, rejected = split_delimited(placed.filter("same AND id <> first").select("value"), header.split(delimiter), delimiter)
+    other = placed.filter("NOT same").filter(F.col("value").rlike(r"\S")).select("value")
+    return rows, rejected.unionByName(other)
 
 
 def merge_tables(tables: Sequence[DataFrame], strategy: str = "concat", on: str | None = None) -> DataFrame:
