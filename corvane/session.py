@@ -59,12 +59,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     For results a plan reads several times and for the steps of iterations: the work runs once, later plans stay
     short, column pruning still applies, the size is known for join choices, and a lost executor loses nothing.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/corvane-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
