@@ -95,26 +95,49 @@ def _half(p: Column, q: Column) -> Column:
     return (part(p) + part(q)) / 2
 
 
+def common_words(tokens: DataFrame, common: int, buckets: int = 1 << 16) -> DataFrame:
+    """``_ref, _word, _count``: the ``common`` most frequent words of each reference, ties by word, exactly.
+
+    Hash buckets are counted first, which are numbers and few. Words are counted in the fullest buckets only, and then in
+    every other bucket that holds as much as the last word found so far, as no word of a lesser one can be more frequent.
+    """
+    of = F.pmod(F.xxhash64("_word"), F.lit(buckets)).cast("int").alias("_b")
+    full = cut_lineage(tokens.groupBy("_ref", of).agg(F.count(F.lit(1)).alias("n")))
+    first = full.withColumn("_at", F.row_number().over(Window.partitionBy("_ref").orderBy(F.col("n").desc(), "_b"))).filter(F.col("_at") <= 4 * common)
+    first = cut_lineage(first.select("_ref", "_b"))
+    counted = lambda chosen: tokens.withColumn("_b", of).join(chosen, ["_ref", "_b"], "left_semi").groupBy("_ref", "_word").agg(F.count(F.lit(1)).alias("_count"))
+    most = Window.partitionBy("_ref").orderBy(F.col("_count").desc(), "_word")
+    found = cut_lineage(counted(first).withColumn("_at", F.row_number().over(most)).filter(F.col("_at") <= common))
+    mark = found.filter(F.col("_at") == common).select("_ref", F.col("_count").alias("_mark"))
+    rest = full.join(mark, "_ref", "left").filter(F.col("n") >= F.coalesce("_mark", F.lit(0))).join(first, ["_ref", "_b"], "left_anti")
+    rest = cut_lineage(rest.select("_ref", "_b"))
+    if not rest.isEmpty():
+        both = found.drop("_at").unionByName(counted(rest))
+        found = cut_lineage(both.withColumn("_at", F.row_number().over(most)).filter(F.col("_at") <= common))
+    return found.drop("_at")
+
+
 def judge_quality(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
     common: int = 48,
-    common_chars: int = 7,
     class_distance: float = 0.34,
     word_distance: float = 0.31,
     word_noise: float = 0.9,
     min_class_chars: int = 100,
     min_common_words: int = 80,
+    min_reference: int = 1000,
     min_words: int = 50,
     most_repeated: int = 50,
 ) -> DataFrame:
     """One row per document: ``key``, its counts, ``class_distance``, ``word_distance``, ``base_failed`` and ``kept``.
 
-    The language references are the histograms of all texts of a language: characters by class, and the ``common`` most
-    frequent words of up to ``common_chars`` characters, lower-cased, by their share of all words. A document is compared by
-    the Jensen-Shannon distance, and rejected if its characters lie further than ``class_distance`` or its common words
+    The language references are the histograms of all other texts of a language: characters by class, and the ``common``
+    most frequent words, lower-cased, by their share of all words; a document is no part of its own reference. Where the
+    others have fewer than ``min_reference`` words, the characters are held against all other texts of the table and the
+    words are not judged. A document is compared by the Jensen-Shannon distance, and rejected if its characters lie further than ``class_distance`` or its common words
     further than ``word_distance + word_noise / sqrt(words)`` from the reference, as the chance part of the distance falls
     with the root of the length. A text with fewer than ``min_class_chars`` characters or ``min_common_words`` words is not
     judged by the one or the other. Documents with fewer than ``min_words`` words, or with more than ``most_repeated``
@@ -137,38 +160,47 @@ def judge_quality(
         again.cast("bigint").alias("_again"),
         repeated_words(F.col("_words")).cast("bigint").alias("_repeat"),
         "_chars",
-        F.filter("_words", lambda w: F.length(w) <= common_chars).alias("_short"),
+        F.transform("_words", F.lower).alias("_low"),
         *[f"_c_{k}" for k in KINDS],
     )
-    measured = cut_lineage(measured)
-    tokens = measured.select("_ref", "_t", F.explode("_short").alias("_word"))
-    tokens = tokens.withColumn("_word", F.lower("_word"))
-    vocabulary = tokens.groupBy("_ref", "_word").agg(F.count(F.lit(1)).alias("n"))
-    most = Window.partitionBy("_ref").orderBy(F.col("n").desc(), "_word")
-    top = vocabulary.withColumn("_at", F.row_number().over(most)).filter(F.col("_at") <= common)
-    referring = measured.drop("_short")
+    measured = cut_lineage(measured, "zstd")
+    tokens = measured.select("_ref", "_t", F.explode("_low").alias("_word"))
+    top = common_words(tokens, common)
+    referring = measured.drop("_low")
     sums = referring.groupBy("_ref").agg(F.sum("_n").alias("_all"), F.sum("_chars").alias("_all_chars"), *[F.sum(f"_c_{k}").alias(f"_s_{k}") for k in KINDS])
     sums = cut_lineage(sums)
-    top = cut_lineage(top.join(sums.select("_ref", "_all"), "_ref").select("_ref", "_word", (F.col("n") / F.col("_all")).alias("_q")))
     # counts of the common words of each text; a text stands once for all its copies, whose shares are the same
     found = (
         tokens.join(top, ["_ref", "_word"])
         .groupBy("_ref", "_t", "_word")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("_q").alias("_q"))
+        .agg(F.count(F.lit(1)).alias("_own"), F.first("_count").alias("_count"))
     )
-    sizes = referring.groupBy("_ref", "_t").agg(F.sum("_n").alias("_size"))
-    shares = found.join(sizes, ["_ref", "_t"]).withColumn("_p", F.col("n") / F.col("_size"))
+    sizes = referring.groupBy("_ref", "_t").agg(F.first("_n").alias("_size"), F.count(F.lit(1)).alias("_copies"))
+    shares = found.join(sizes, ["_ref", "_t"]).join(sums.select("_ref", "_all"), "_ref")
+    shares = shares.withColumn("_own", F.col("_own") / F.col("_copies")).withColumn("_p", F.col("_own") / F.col("_size"))
+    others = lambda n: F.greatest(F.lit(1), F.col("_all") - F.col(n))
     parts = shares.groupBy("_ref", "_t").agg(
-        F.sum(_half(F.col("_p"), F.col("_q")) - F.col("_q") / 2).alias("_div"), F.sum("_p").alias("_hit")
+        F.sum(_half(F.col("_p"), (F.col("_count") - F.col("_own")) / others("_size"))).alias("_div"), F.sum("_p").alias("_hit"),
+        F.sum("_own").alias("_mine"), F.sum("_count").alias("_met"),
     )
-    held = top.groupBy("_ref").agg(F.sum("_q").alias("_held"))
-    languages = cut_lineage(sums.join(held, "_ref", "left"))
-    # a common word that a text lacks adds half its share in the reference
+    held = top.groupBy("_ref").agg(F.sum("_count").alias("_held"))
+    pooled = sums.agg(F.sum("_all_chars").alias("_t_chars"), *[F.sum(f"_s_{k}").alias(f"_t_{k}") for k in KINDS])
+    languages = cut_lineage(sums.join(held, "_ref", "left").withColumn("_pool", pooled.select(F.struct("*")).scalar()).select("*", "_pool.*").drop("_pool"))
     judged = referring.join(languages, "_ref").join(parts, ["_ref", "_t"], "left")
-    rest = _half(F.greatest(F.lit(0.0), 1 - F.coalesce("_hit", F.lit(0.0))), F.greatest(F.lit(0.0), 1 - F.coalesce("_held", F.lit(0.0))))
-    words_far = F.sqrt(F.greatest(F.lit(0.0), F.coalesce("_div", F.lit(0.0)) + F.coalesce("_held", F.lit(0.0)) / 2 + rest))
-    classes = [_half(F.col(f"_c_{k}") / F.col("_chars"), F.col(f"_s_{k}") / F.col("_all_chars")) for k in KINDS]
-    classes_far = F.sqrt(F.greatest(F.lit(0.0), sum(classes, F.lit(0.0))))
+    none = lambda c: F.coalesce(c, F.lit(0))
+    # a common word that a text lacks adds half its share in the reference
+    lacking = (none("_held") - none("_met")) / others("_n") / 2
+    left = lambda x: F.greatest(F.lit(0.0), 1 - x)
+    rest = _half(left(none("_hit")), left((none("_held") - none("_mine")) / others("_n")))
+    words_far = F.sqrt(F.greatest(F.lit(0.0), none("_div") + lacking + rest))
+    enough = F.col("_all") - F.col("_n") >= min_reference
+
+    def apart(kind: str) -> Column:
+        other = F.when(enough, F.col(f"_s_{kind}")).otherwise(F.col(f"_t_{kind}")) - F.col(f"_c_{kind}")
+        chars = F.when(enough, F.col("_all_chars")).otherwise(F.col("_t_chars")) - F.col("_chars")
+        return F.when(chars > 0, _half(F.col(f"_c_{kind}") / F.col("_chars"), other / chars)).otherwise(0.0)
+
+    classes_far = F.sqrt(F.greatest(F.lit(0.0), sum([apart(k) for k in KINDS], F.lit(0.0))))
     failed = (F.col("_n") < min_words) | (100 * F.col("_repeat") > most_repeated * F.col("_n"))
     return judged.select(
         F.col("_key").alias(key),
@@ -178,7 +210,7 @@ def judge_quality(
         F.col("_again").alias("n_dup_lines"),
         F.col("_repeat").alias("n_repeat_words"),
         F.when(F.col("_chars") >= min_class_chars, classes_far).alias("class_distance"),
-        F.when(F.col("_n") >= min_common_words, words_far).alias("word_distance"),
+        F.when((F.col("_n") >= min_common_words) & enough, words_far).alias("word_distance"),
         failed.alias("base_failed"),
     ).withColumn(
         "kept",

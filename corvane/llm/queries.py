@@ -61,23 +61,30 @@ def _half_sql(p: str, q: str) -> str:
         FROM x{BINS - 1} LEFT JOIN again USING (doc_id)
     ), s AS (
         SELECT ref, sum(n_words) AS all_words, sum(chars) AS all_chars, {", ".join(f"sum(c{i}) AS s{i}" for i in range(BINS))} FROM c GROUP BY ref
+    ), pool AS (
+        SELECT sum(all_chars) AS t_chars, {", ".join(f"sum(s{i}) AS t{i}" for i in range(BINS))} FROM s
     ), tokens AS (
-        SELECT doc_id, ref, lower(w) AS word FROM (SELECT doc_id, ref, unnest(words) AS w FROM x) WHERE length(w) <= 7
+        SELECT doc_id, ref, lower(w) AS word FROM (SELECT doc_id, ref, unnest(words) AS w FROM x)
     ), top AS (
-        SELECT ref, word, n / all_words AS q
-        FROM (SELECT ref, word, count(*) AS n, row_number() OVER (PARTITION BY ref ORDER BY count(*) DESC, word) AS place FROM tokens GROUP BY ref, word)
-        JOIN s USING (ref) WHERE place <= 48
+        SELECT ref, word, n FROM (SELECT ref, word, count(*) AS n, row_number() OVER (PARTITION BY ref ORDER BY count(*) DESC, word) AS place FROM tokens GROUP BY ref, word)
+        WHERE place <= 48
     ), hits AS (
-        SELECT doc_id, sum(d) AS div, sum(p) AS hit FROM (
-            SELECT doc_id, p, {_half_sql("p", "q")} - q / 2 AS d
-            FROM (SELECT doc_id, t.q, count(*) / any_value(n_words) AS p FROM tokens k JOIN top t USING (ref, word) JOIN c USING (doc_id) GROUP BY doc_id, word, t.q)
+        SELECT doc_id, sum({_half_sql("p", "q")}) AS div, sum(p) AS hit, sum(own) AS mine, sum(n) AS met FROM (
+            SELECT doc_id, own, n, own / n_words AS p, (n - own) / greatest(1, all_words - n_words) AS q
+            FROM (SELECT doc_id, ref, word, t.n, count(*) AS own FROM tokens k JOIN top t USING (ref, word) GROUP BY ALL) JOIN (SELECT doc_id, n_words FROM c) USING (doc_id) JOIN s USING (ref)
         ) GROUP BY doc_id
-    ), held AS (SELECT ref, sum(q) AS held FROM top GROUP BY ref
+    ), held AS (SELECT ref, sum(n) AS held FROM top GROUP BY ref
+    ), sided AS (
+        SELECT c.*, all_words - n_words >= 1000 AS enough, greatest(1, all_words - n_words) AS others, coalesce(held, 0) AS held, coalesce(div, 0) AS div, coalesce(hit, 0) AS hit,
+            coalesce(mine, 0) AS mine, coalesce(met, 0) AS met,
+            CASE WHEN all_words - n_words >= 1000 THEN all_chars ELSE t_chars END - chars AS other_chars,
+            {", ".join(f"CASE WHEN all_words - n_words >= 1000 THEN s{i} ELSE t{i} END - c{i} AS o{i}" for i in range(BINS))}
+        FROM c JOIN s USING (ref) LEFT JOIN held USING (ref) LEFT JOIN hits USING (doc_id) CROSS JOIN pool
     ), judged AS (
-        SELECT c.*, sqrt(greatest(0, coalesce(div, 0) + coalesce(held, 0) / 2 + {_half_sql("greatest(0, 1 - coalesce(hit, 0))", "greatest(0, 1 - coalesce(held, 0))")})) AS words_far,
-            CASE WHEN chars >= 100 THEN sqrt(greatest(0, {" + ".join(_half_sql(f"c{i} / chars", f"s{i} / all_chars") for i in range(BINS))})) ELSE 0 END AS chars_far,
+        SELECT *, CASE WHEN enough THEN sqrt(greatest(0, div + (held - met) / others / 2 + {_half_sql("greatest(0, 1 - hit)", "greatest(0, 1 - (held - mine) / others)")})) ELSE 0 END AS words_far,
+            CASE WHEN chars >= 100 AND other_chars > 0 THEN sqrt(greatest(0, {" + ".join(_half_sql(f"c{i} / chars", f"o{i} / other_chars") for i in range(BINS))})) ELSE 0 END AS chars_far,
             n_words < 50 OR 100 * n_repeat > 50 * n_words AS base_failed
-        FROM c JOIN s USING (ref) LEFT JOIN held USING (ref) LEFT JOIN hits USING (doc_id)
+        FROM sided
     )
     SELECT doc_id, n_words::BIGINT AS n_words, chars::BIGINT AS word_chars, c6::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
         n_repeat::BIGINT AS n_repeat_words, base_failed,

@@ -1,5 +1,6 @@
 """Quality rules, mixing and sharding against brute force."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -41,15 +42,44 @@ def test_quality_counts(spark, make):
 
 
 def test_every_language_has_its_reference(spark):
-    """More languages than 512, of three scripts, with one text each: none is far from its own histograms."""
+    """More languages than 512, of three scripts, with three like texts each: none is far from the two others."""
     rows = []
     for i in range(530):
         say = ("abcdefgh", "абвгдежз", "12345678")[i % 3]
-        rows.append((i, " ".join(say[k % 7 :] + say[k % 5 :] + say[k // 8] for k in range(60)) + " " + " ".join(say[k % 8] + say[k // 8] for k in range(60)), f"l{i}"))
+        text = " ".join(say[k % 7 :] + say[k % 5 :] + say[k // 8] for k in range(60)) + " " + " ".join(say[k % 8] + say[k // 8] for k in range(60))
+        rows += [(3 * i + j, f"{text} {text} {text} {text} {text} {say[j]}", f"l{i}") for j in range(3)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got = quality.judge_quality(docs, most_repeated=100).collect()
-    assert len(got) == 530 and all(r.kept for r in got)
-    assert max(r.class_distance for r in got) < 1e-6 and max(r.word_distance for r in got) < 1e-6
+    assert len(got) == 1590 and all(r.kept for r in got)
+    assert max(r.class_distance for r in got) < 0.02 and max(r.word_distance for r in got) < 0.1
+
+
+def test_a_text_is_no_part_of_its_own_reference(spark):
+    prose = " ".join(f"word{chr(97 + i % 26)} and the other, thing." for i in range(400))
+    rows = [(i, prose, "en") for i in range(4)] + [(10, "#$% &&* <|> " * 100, "alone"), (11, prose, "lone prose"), (12, "", "empty")]
+    got = {r.doc_id: r for r in quality.judge_quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), most_repeated=100).collect()}
+    assert not got[10].kept and got[10].class_distance > 0.9 and got[10].word_distance is None
+    assert got[11].kept and got[11].word_distance is None and all(got[i].kept for i in range(4)) and not got[12].kept
+
+
+def test_long_words_count(spark):
+    rows = [(i, " ".join(["extraordinarily", "commonplace", "words"] * 200 + [f"w{i}x{k}" for k in range(60)]), "en") for i in range(5)]
+    rows.append((9, " ".join(f"x{k}y" for k in range(700)), "en"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.word_distance for r in quality.judge_quality(docs, most_repeated=100).collect()}
+    assert max(got[i] for i in range(5)) < 0.5 and got[9] > 0.8
+
+
+def test_common_words_are_exact_in_crowded_buckets(spark):
+    rng = random.Random(4)
+    said = [(r, f"w{min(rng.randrange(300), rng.randrange(300))}") for r in ("a", "b") for _ in range(4000)] + [("c", "one")]
+    tokens = spark.createDataFrame(said, "_ref string, _word string")
+    got = sorted((r._ref, r._word, r._count) for r in quality.common_words(tokens, 6, buckets=40).collect())
+    want = []
+    for ref in "abc":
+        seen = Counter(w for r, w in said if r == ref)
+        want += [(ref, w, n) for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:6]]
+    assert got == sorted(want)
 
 
 def test_quality_against_labels(spark):

@@ -31,26 +31,30 @@ def histogram(text):
     return [*out, len(rest)]
 
 
-def plain_quality(docs, common=48):
-    """Rows kept: the counts of test_native, and distances to the histograms of all texts of a language."""
+def plain_quality(docs, common=48, least=1000):
+    """Rows kept: the counts of test_native, and distances to the histograms of all other texts of a language."""
     by = defaultdict(list)
     for d in docs:
         by[d["lang"]].append(d)
+    pool = [sum(x) for x in zip(*(histogram(d["text"]) for d in docs))]
     kept = []
     for own in by.values():
         chars = [sum(x) for x in zip(*(histogram(d["text"]) for d in own))]
-        said = Counter(w.lower() for d in own for w in brute.words(d["text"]) if len(w) <= 7)
+        said = Counter(w.lower() for d in own for w in brute.words(d["text"]))
         total = sum(len(brute.words(d["text"])) for d in own)
         top = sorted(said.items(), key=lambda x: (-x[1], x[0].encode()))[:common]
-        q = [n / total for _, n in top]
         for d in own:
             n, n_chars, _, _, again = plain_counts(d["text"])
             if n < 50 or 100 * again > 50 * n:
                 continue
-            here = Counter(w.lower() for w in brute.words(d["text"]) if len(w) <= 7)
+            here = Counter(w.lower() for w in brute.words(d["text"]))
             p = [here[w] / n for w, _ in top]
-            far = math.sqrt(divergence([*p, 1 - sum(p)], [*q, 1 - sum(q)]))
-            shape = math.sqrt(divergence([c / n_chars for c in histogram(d["text"])], [c / sum(chars) for c in chars]))
+            q = [(c - here[w]) / max(1, total - n) for w, c in top]
+            enough = total - n >= least
+            far = math.sqrt(divergence([*p, 1 - sum(p)], [*q, 1 - sum(q)])) if enough else 0
+            mine = histogram(d["text"])
+            other = [x - y for x, y in zip(chars if enough else pool, mine)]
+            shape = math.sqrt(divergence([c / n_chars for c in mine], [c / sum(other) for c in other])) if sum(other) else 0
             if (n < 80 or far <= 0.31 + 0.9 / math.sqrt(n)) and (n_chars < 100 or shape <= 0.34):
                 kept.append(d)
     return kept
