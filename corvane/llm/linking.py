@@ -25,6 +25,49 @@ def bucket_members(items: DataFrame) -> DataFrame:
     return cut_lineage(rows.join(cut_lineage(shared.select("band", "low")), "band").repartition("item", "band").distinct())
 
 
+def sorted_members(items: DataFrame) -> DataFrame:
+    """What :func:`bucket_members` gives, from one exchange: rows are sorted by 48 bits of the band and by item.
+
+    A stream over a task's rows hands on those of buckets with two different items and holds one row, however large a
+    bucket is. Bands that agree in 48 bits by chance are one bucket, whose pairs are checked like any others.
+    """
+
+    def shared(batches):
+        kept = [np.zeros(0, np.int64)] * 3  # the only row so far of the bucket at the end of the batch before
+        open_band, low, last = None, 0, 0  # a bucket that went on from there and has been handed on
+        for batch in batches:
+            band, item, size = (np.concatenate([k, batch.column(c).to_numpy()]) for c, k in enumerate(kept))
+            kept = [np.zeros(0, np.int64)] * 3
+            if not len(band):
+                continue
+            new = np.ones(len(band), dtype=bool)
+            new[1:] = (band[1:] != band[:-1]) | (item[1:] != item[:-1])
+            if open_band is not None and band[0] == open_band and item[0] == last:
+                new[0] = False
+            band, item, size = band[new], item[new], size[new]
+            if not len(band):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
+            counts = np.diff(np.append(starts, len(band)))
+            lows = item[starts]
+            goes_on = open_band is not None and band[0] == open_band
+            if goes_on:
+                lows[0] = low
+            full = counts > 1
+            full[0] |= goes_on
+            if not full[-1]:
+                kept, open_band = [band[-1:], item[-1:], size[-1:]], None
+            else:
+                open_band, low, last = band[-1], lows[-1], item[-1]
+            rows = np.repeat(full, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (band[rows], item[rows], size[rows], np.repeat(lows, counts)[rows])], names=["band", "item", "size", "low"])
+
+    rows = items.select(F.explode("bands").alias("band"), "item", F.col("size").cast("bigint").alias("size"))
+    rows = rows.withColumn("band", F.shiftright("band", 16))
+    dealt = rows.repartition("band").sortWithinPartitions("band", "item")
+    return cut_lineage(dealt.mapInArrow(shared, "band bigint, item bigint, size bigint, low bigint"))
+
+
 def hub_pairs(members: DataFrame, percent: int) -> DataFrame:
     """One pair ``(a, b)`` for each item: with the bucket minimum that it meets most often."""
     met = members.join(members.filter("item = low").select("band", F.col("size").alias("hub_size")), "band")
@@ -175,15 +218,15 @@ def union_find(links: DataFrame) -> DataFrame:
             return labels
 
 
-def link_items(items: DataFrame, texts_of, shingles, percent: int) -> DataFrame:
+def link_items(items: DataFrame, texts_of, shingles, percent: int, buckets=bucket_members) -> DataFrame:
     """Groups ``(item, group)`` of the items linked by a chain of pairs that share ``percent`` of their union.
 
     ``items`` has ``item``, ``size`` (of its set) and ``bands``; copies may repeat. ``texts_of(wanted)`` gives
     ``(item, text)`` for a table of items, and ``shingles`` the sets of a block of texts. First every item is checked
-    against one hub, which settles most copies. Then the buckets that still hold several groups are compared in full
+    against one hub, which settles most copies; ``buckets`` finds those that meet. Then the buckets that still hold several groups are compared in full
     by :func:`check_clouds`, so every pair that shares a bucket is decided.
     """
-    members = bucket_members(items)
+    members = buckets(items)
     texts = cut_lineage(texts_of(members.select("item").distinct()))
     links = cut_lineage(check_pairs(hub_pairs(members, percent), texts, shingles, percent))
     groups = union_find(links)

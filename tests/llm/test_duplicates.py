@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from corvane.llm import linking
 from corvane.llm.lines import drop_lines, fuzzy_lines
 from corvane.llm.near_duplicates import near_duplicates
 from corvane.llm.queries import QUERIES
@@ -144,3 +146,15 @@ def test_empty_tables(make):
     assert near_duplicates(none).count() == 0
     assert repeated_passages(none).count() == 0
     assert fuzzy_lines(none).count() == 0
+
+
+def test_members_from_one_exchange(spark):
+    rng = np.random.default_rng(3)
+    bands = rng.integers(-400, 400, (3000, 3)) << 16
+    rows = [(int(i), int(i) % 50, [int(b) for b in bs]) for i, bs in zip(rng.integers(0, 900, 3000), bands)]
+    rows += [(10_000 + i, 5, [99 << 40]) for i in range(25_000)]  # a bucket over several batches
+    rows += [(1, 1, [])] + [(77, 27, [12345 << 16])] * 3
+    items = spark.createDataFrame(rows, "item bigint, size bigint, bands array<bigint>").repartition(3)
+    plain = lambda df, bits: sorted((r.band >> bits, r.item, r.size, r.low) for r in df.collect())
+    found = plain(linking.sorted_members(items), 0)
+    assert found == plain(linking.bucket_members(items), 16) and len(found) > 26_000
