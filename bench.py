@@ -57,6 +57,12 @@ def main() -> None:
     names = list(queries) if wanted == "all" else [n for n in wanted.split(",") if n] or HEADLINES
     spark.range(1000).selectExpr("sum(id)").collect()
     seconds, errors = {}, {}
+    if not wanted:  # the stored index that the text queries share is built once, and counts
+        from corvane.plans import text_queries
+
+        begin = time.time()
+        text_queries.chunk_index(spark, folder)
+        seconds["text_index_build"] = round(time.time() - begin, 3)
     for name in names:
         start = time.perf_counter()
         try:
