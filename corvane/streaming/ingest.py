@@ -11,14 +11,16 @@ from pyspark.sql import types as T
 from corvane.sources import store, sync
 
 
-def read_files(spark: SparkSession, folder: str, schema: T.StructType, name_filter: str | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """File stream of a folder; each file is read once, as the stream's checkpoint remembers."""
+def read_files(spark: SparkSession, folder: str, schema: T.StructType, name: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """File stream of a folder, or of the table ``name`` in it; each file is read once, as the checkpoint remembers.
+
+    A table is one file or a folder of files. A pattern that only its name fits finds both, where a filter of file
+    names would find nothing in a folder.
+    """
     reader = spark.readStream.schema(schema)
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(folder if name is None else f"{folder}/[{name[0]}]{name[1:]}")
 
 
 def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
