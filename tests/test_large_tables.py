@@ -1,6 +1,6 @@
 """What only tables of many files or many rows showed: tables stored as folders, and steps that grew too fast."""
 
-from corvane.plans.registry import PLANS
+from corvane import plans
 
 
 def test_streams_read_a_table_of_several_files(spark, tmp_path):
@@ -8,4 +8,4 @@ def test_streams_read_a_table_of_several_files(spark, tmp_path):
     spark.range(10).selectExpr("id AS doc_id", "'x' AS text").write.parquet(f"{folder}/documents.parquet")
     labels = spark.range(0, 10, 2).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic").repartition(3)
     labels.write.parquet(f"{folder}/labels.parquet")
-    assert sorted(r.doc_id for r in PLANS["st6_prune_stream"](spark, folder).collect()) == [1, 3, 5, 7, 9]
+    assert sorted(r.doc_id for r in plans.load()[0]["st6_prune_stream"](spark, folder).collect()) == [1, 3, 5, 7, 9]
