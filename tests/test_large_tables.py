@@ -1,6 +1,9 @@
 """What only tables of many files or many rows showed: tables stored as folders, and steps that grew too fast."""
 
+from pyspark.sql import DataFrameWriter
+
 from corvane import plans
+from corvane.operators import postings
 
 
 def test_streams_read_a_table_of_several_files(spark, tmp_path):
@@ -9,3 +12,32 @@ def test_streams_read_a_table_of_several_files(spark, tmp_path):
     labels = spark.range(0, 10, 2).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic").repartition(3)
     labels.write.parquet(f"{folder}/labels.parquet")
     assert sorted(r.doc_id for r in plans.load()[0]["st6_prune_stream"](spark, folder).collect()) == [1, 3, 5, 7, 9]
+
+
+def test_an_index_is_built_without_a_shuffle(spark, monkeypatch):
+    chunks = spark.range(300).selectExpr("id AS chunk_id", "array('the', concat('w', id % 7)) AS body").coalesce(2)
+    frames, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **more: (frames.append(self._df), write(self, path, **more))[1])
+    store = postings.build(chunks, {"body": "body"}, block_rows=64)
+    plans_ = [f._jdf.queryExecution().executedPlan().toString() for f in frames if "ids" in f.columns]
+    assert len(plans_) == 1 and "Exchange" not in plans_[0].replace("REPARTITION", "") and "Sort" not in plans_[0]
+    assert store.blocks.count() == 6 and {r.term: r.df for r in store.stats.collect()}["the"] == 300
+
+
+def test_counts_move_no_index_rows(spark, monkeypatch):
+    """Every question meets every block, and only its counts are shuffled, whatever the tile; odd rows are none."""
+    chunks = spark.range(200).selectExpr("id AS chunk_id", "array('the', concat('w', id % 7)) AS body", "IF(id % 3 = 0, array('a', 'b', 'b'), array()) AS tags")
+    store = postings.build(chunks, {"body": "body"}, carry=["tags"], block_rows=16)
+    needs = spark.range(50).selectExpr("id AS k", "explode(array('the', concat('w', id % 7), 'nowhere')) AS term", "CAST(id % 3 AS int) AS need")
+    want = {}
+    for q in range(50):
+        for i in range(0, 200, 3):
+            if q % 3 < 2 or q % 7 == i % 7:
+                for tag in "abb":
+                    want[q, tag] = want.get((q, tag), 0) + 1
+    monkeypatch.setattr(postings, "_met", None)
+    monkeypatch.setattr(postings, "PAIRS", 100)
+    for rows in (7, 1000):
+        assert {(r.k, r.value): r.n for r in postings.matched_counts(needs, store, "tags", "k", rows).collect()} == want
+    assert postings.matched_counts(needs.filter("term = 'nowhere'"), store, "tags", "k").count() == 0
+    assert postings.matched_counts(needs.limit(0), store, "tags", "k").count() == 0
