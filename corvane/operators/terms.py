@@ -171,15 +171,16 @@ def query_terms(
 def paragraph_query(texts: DataFrame, stats: DataFrame, key: str, topn: int = 30, tokens: str = "tokens") -> DataFrame:
     """The heaviest ``topn`` distinct terms of each text ``(key, tokens)`` as a query, with the matches it needs.
 
-    Needed matches are a tenth of the terms (half to even), at most three.
+    Needed matches are a tenth of the terms (half to even), at most three. A text's terms are brought together once and
+    ranked and counted there; a limit before the shuffle would sort all terms and find few of a text in one place.
     """
     distinct = texts.select(key, F.explode(F.array_distinct(tokens)).alias("token"))
-    weighed = distinct.join(stats, "token", "left").withColumn(
-        "weight", F.round(raw_term_weight(F.col("token"), F.col("tf"), F.col("df")), 6)
+    weighed = distinct.join(stats, "token", "left").select(
+        key, "token", F.round(raw_term_weight(F.col("token"), F.col("tf"), F.col("df")), 6).alias("weight")
     )
-    top = ordering.topk_per_query(weighed.drop("tf", "df"), topn, score="weight", tie="token", key=key)
-    needs = top.groupBy(key).agg(F.least(F.lit(3), F.bround(F.count(F.lit(1)) / 10, 0)).cast("int").alias("need"))
-    return top.join(needs, key).withColumnRenamed("token", "term")
+    top = ordering.topk_per_query(weighed.repartition(key), topn, score="weight", tie="token", key=key)
+    terms = F.count(F.lit(1)).over(Window.partitionBy(key))
+    return top.withColumn("need", F.least(F.lit(3), F.bround(terms / 10, 0)).cast("int")).withColumnRenamed("token", "term")
 
 
 def chunk_keywords(texts: DataFrame, stats: DataFrame, total: DataFrame, key: str, topn: int, tokens: str = "tokens") -> DataFrame:

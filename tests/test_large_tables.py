@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrameWriter
 
 from corvane import plans
-from corvane.operators import postings
+from corvane.operators import postings, terms
 
 
 def test_streams_read_a_table_of_several_files(spark, tmp_path):
@@ -41,3 +41,14 @@ def test_counts_move_no_index_rows(spark, monkeypatch):
         assert {(r.k, r.value): r.n for r in postings.matched_counts(needs, store, "tags", "k", rows).collect()} == want
     assert postings.matched_counts(needs.filter("term = 'nowhere'"), store, "tags", "k").count() == 0
     assert postings.matched_counts(needs.limit(0), store, "tags", "k").count() == 0
+
+
+def test_paragraph_queries_shuffle_their_terms_once(spark):
+    texts = spark.createDataFrame([(1, [f"w{i}" for i in range(40)]), (2, ["w1", "x", "x"]), (3, []), (4, None)], "doc_id int, tokens array<string>")
+    stats = spark.createDataFrame([(f"w{i}", i + 1, 20 * (i + 1)) for i in range(40)], "token string, df bigint, tf bigint")
+    top = terms.paragraph_query(texts, stats, "doc_id", 30)
+    rows = top.collect()
+    assert sorted((r.doc_id, r.need) for r in rows) == [(1, 3)] * 30 + [(2, 0)] * 2
+    assert {r.term for r in rows if r.doc_id == 1} == {f"w{i}" for i in range(30)}
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and plan.count("Aggregate") == 0
