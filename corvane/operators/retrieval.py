@@ -121,10 +121,13 @@ def vector_match_approx(
 
 
 def pair_similarity(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Cosine of given pairs ``(query_id, chunk_id, …)``; 0 without a vector on either side."""
+    """Cosine of given pairs ``(query_id, chunk_id, …)``; 0 without a vector on either side.
+
+    The chunks' vectors come first: pairs move by chunk without the vector of their question.
+    """
     return (
-        pairs.join(queries.select("query_id", "vector"), "query_id", "left")
-        .join(vectors.select("chunk_id", "embedding"), "chunk_id", "left")
+        pairs.join(vectors.select("chunk_id", "embedding"), "chunk_id", "left")
+        .join(queries.select("query_id", "vector"), "query_id", "left")
         .withColumn(
             "cosine", F.coalesce(sc.cosine(F.col("vector").cast("array<double>"), F.col("embedding").cast("array<double>")), F.lit(0.0))
         )
@@ -394,12 +397,10 @@ def retrieval(
     first = (page - 1) * page_size
     passed = first // window * window
     first -= passed
-    candidates = filters.prune_orphans(
-        first_stage.filter((F.col("rank") > passed) & (F.col("rank") <= passed + window))
-        .select("query_id", "chunk_id", "cosine")
-        .join(chunks.select("chunk_id", "doc_id"), "chunk_id"),
-        documents,
-    ).drop("doc_id")
+    # written, so that Spark knows how few they are before it joins them with all chunks and documents
+    hits = cut_lineage(first_stage.filter((F.col("rank") > passed) & (F.col("rank") <= passed + window)).select("query_id", "chunk_id", "cosine"))
+    candidates = filters.prune_orphans(hits.join(chunks.select("chunk_id", "doc_id"), "chunk_id"), documents)
+    candidates = cut_lineage(candidates.drop("doc_id"))
     scored = rerank(candidates, chunks, features, 1 - vector_weight, vector_weight, rank_feature=rank_feature)
     valid = ordering.topk_per_query(scored.filter(F.col("similarity") >= floor), window, score="similarity")
     totals = valid.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))

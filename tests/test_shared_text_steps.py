@@ -2,7 +2,9 @@
 
 import random
 
-from corvane.operators import postings
+from pyspark.sql import functions as F
+
+from corvane.operators import postings, retrieval
 from corvane.plans import text_queries
 
 
@@ -45,3 +47,25 @@ def test_a_line_does_not_carry_its_whole_text(spark, tmp_path, monkeypatch):
     assert got == {(1, "first", "line", "|", "first", "line"), (1, "first", "line", "|", "second", "line"), (1, "first", "line", "|", "third"), (3, "one", "|", "one"), (4, "|", "body")}
     above, below = plan_of(made[0]).split("Generate", 1)
     assert "text#" not in above and "text#" not in below.splitlines()[0]
+
+
+def test_pairs_meet_the_chunks_before_their_questions(spark):
+    pairs = spark.createDataFrame([(1, 7), (2, 8), (3, 7), (1, 9)], "query_id int, chunk_id int")
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0])], "query_id int, vector array<double>")
+    vectors = spark.createDataFrame([(7, [3.0, 4.0]), (8, [0.0, 1.0])], "chunk_id int, embedding array<float>")
+    found = retrieval.pair_similarity(pairs, queries, vectors)
+    assert {(r.query_id, r.chunk_id, round(r.cosine, 6)) for r in found.collect()} == {(1, 7, 0.6), (2, 8, 1.0), (3, 7, 0.0), (1, 9, 0.0)}
+    joins = [line for line in plan_of(found).splitlines() if "Join LeftOuter" in line]
+    assert "query_id" in joins[0] and "chunk_id" in joins[1]
+
+
+def test_candidates_are_written_before_they_meet_all_chunks(spark, monkeypatch):
+    seen = []
+    real = retrieval.cut_lineage
+    monkeypatch.setattr(retrieval, "cut_lineage", lambda df: seen.append(df.columns) or real(df))
+    first = spark.createDataFrame([(1, i, 0.5, 0.5, i) for i in range(1, 100)], "query_id int, chunk_id int, score double, cosine double, rank int")
+    chunks = spark.range(1, 200).select(F.col("id").cast("int").alias("chunk_id"), F.col("id").alias("doc_id"), F.lit("n").alias("doc_name"), F.array(F.lit("a")).alias("tokens"), F.array(F.lit("b")).alias("title_tokens"))
+    features = spark.createDataFrame([(1, {"a": 1.0}, 1.0)], "query_id int, features map<string,double>, feature_total double")
+    rows, facets = retrieval.retrieval(first, chunks, chunks.select("doc_id"), features)
+    assert rows.count() == 10 and facets.agg(F.sum("n")).first()[0] == 70
+    assert seen == [["query_id", "chunk_id", "cosine"], ["chunk_id", "query_id", "cosine"]]
