@@ -189,7 +189,10 @@ class _Tile:
         self.d, n = d, len(need)
         order = np.lexsort((of, q))  # sums are added up in the order of the terms, however they come
         q, of, weights = q[order], of[order], {f: w[order] for f, w in weights.items()}
-        begin, size = offsets[of], np.diff(offsets)[of]
+        used, of = np.unique(of, return_inverse=True)  # a posting's share in the score is the same for all questions
+        size, ends = np.diff(offsets)[used], np.cumsum(np.diff(offsets)[used])
+        at, norms = _impacts(np.repeat(offsets[used] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0), at, tfs, lengths, avg)
+        begin, size = (ends - size)[of], size[of]
         cells = n * d
         matched, sums = np.zeros(cells, np.int64), {f: np.zeros(cells) for f in tfs}
         cuts = np.append(np.unique(np.cumsum(size) // PAIRS, return_index=True)[1], len(of)) if len(of) else [0]
@@ -199,10 +202,8 @@ class _Tile:
             where = np.repeat(begin[a:b] - (ends - s), s) + np.arange(ends[-1])
             cell = np.repeat(q[a:b], s) * d + at[where]
             matched += np.bincount(cell, minlength=cells)
-            for f, tf in tfs.items():
-                tf = tf[where].astype(float)
-                norm = np.where(tf > 0, _norm(np.maximum(tf, 1e-300), lengths[f][at[where]], avg[f]), 0.0)
-                sums[f] += np.bincount(cell, np.repeat(weights[f][a:b], s) * norm, cells)
+            for f in tfs:
+                sums[f] += np.bincount(cell, np.repeat(weights[f][a:b], s) * norms[f][where], cells)
         hits = np.flatnonzero(matched >= np.repeat(need, d))
         self.hits = hits[matched[hits] > 0]
         self.matched = matched[self.hits]
@@ -222,6 +223,15 @@ class _Tile:
         return [queries.take(pa.array(self.hits // self.d)), ids.take(pa.array(self.hits % self.d)), pa.array(self.best), pa.array(self.matched)]
 
 
+def _impacts(where: np.ndarray, at: np.ndarray, tfs: Mapping, lengths: Mapping, avg: Mapping[str, float]) -> tuple[np.ndarray, dict]:
+    """The chunk of some postings, and for each field what they add to a score before any weight."""
+    at, norms = at[where], {}
+    for f, tf in tfs.items():
+        tf = tf[where].astype(float)
+        norms[f] = np.where(tf > 0, _norm(np.maximum(tf, 1e-300), lengths[f][at], avg[f]), 0.0)
+    return at, norms
+
+
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets from 0 and entries of a column of lists."""
     return lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py(), lists.flatten().to_numpy(zero_copy_only=False)
