@@ -254,7 +254,8 @@ win AS (SELECT query_id, chunk_id, score FROM hits QUALIFY row_number() OVER (PA
 
 
 def top_text_hits(spark, folder, k=70, base=None):
-    return ordering.topk_per_query(text_hits(spark, folder, base, k).select("query_id", "chunk_id", "score"), k)
+    """Best text hits, written, so that Spark knows how few they are before it joins them with all chunks."""
+    return cut_lineage(ordering.topk_per_query(text_hits(spark, folder, base, k).select("query_id", "chunk_id", "score"), k))
 
 
 @query(
@@ -321,7 +322,7 @@ def r6_hybrid_score(spark, folder):
         top_text_hits(spark, folder, base=base).select("query_id", "chunk_id"), question_vectors(spark, folder), chunk_vectors(spark, folder)
     )
     staged = (
-        pairs.join(chunks, "chunk_id")
+        cut_lineage(pairs).join(chunks, "chunk_id")
         .join(retrieval.query_features(weights), "query_id")
         .withColumn(
             "token_sim",

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from corvane.operators import postings, retrieval
-from corvane.plans import text_queries
+from corvane.plans import retrieval_queries, text_queries
 
 
 def plan_of(df):
@@ -69,3 +69,10 @@ def test_candidates_are_written_before_they_meet_all_chunks(spark, monkeypatch):
     rows, facets = retrieval.retrieval(first, chunks, chunks.select("doc_id"), features)
     assert rows.count() == 10 and facets.agg(F.sum("n")).first()[0] == 70
     assert seen == [["query_id", "chunk_id", "cosine"], ["chunk_id", "query_id", "cosine"]]
+
+
+def test_top_hits_are_written(spark, monkeypatch):
+    hits = spark.createDataFrame([(q, c, float(c)) for q in range(3) for c in range(9)], "query_id int, chunk_id int, score double")
+    monkeypatch.setattr(retrieval_queries, "text_hits", lambda *_: hits)
+    top = retrieval_queries.top_text_hits(spark, "", 4)
+    assert top.count() == 12 and "Window" not in plan_of(top)
