@@ -34,7 +34,28 @@ class Vocabulary:
 
     def __post_init__(self):
         self.maybe = np.zeros(1 << FILTER_BITS, dtype=bool)
-        self.maybe[(self.hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        self.maybe[_slots(self.hashes)] = True
+        # where a longer piece may begin like this
+        self.begins = np.zeros(1 << FILTER_BITS, dtype=bool)
+        plain = [self.pieces[i] for i in self.ids.tolist()]
+        ends = np.cumsum([len(p) for p in plain])
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        hashes = blocks.span_hasher(np.frombuffer(b"".join(plain), dtype=np.uint8))
+        for size in range(1, self.longest):
+            longer = starts[ends - starts > size]
+            self.begins[_slots(hashes(longer, longer + size))] = True
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _stable_order(values: np.ndarray) -> np.ndarray:
+    """What a stable ``argsort`` of numbers from 0 below 2^32 gives, by two sorts of 16 bits, which numpy does by radix."""
+    order = np.argsort(values.astype(np.uint16), kind="stable")
+    if values.max(initial=0) >> 16:
+        order = order[np.argsort((values >> 16).astype(np.uint16)[order], kind="stable")]
+    return order
 
 
 def load_vocabulary(path: str = MODEL, temperature: float = 1.0) -> Vocabulary:
@@ -95,11 +116,14 @@ class Lattice:
         left = sizes[chunk] - inside
         node = self.first[chunk] + inside
         origin, length, piece, weight = [], [], [], []
+        spans, open_ = blocks.span_hasher(body), np.arange(total)
         for size in range(1, min(vocabulary.longest, int(sizes.max(initial=0))) + 1):
-            at = np.flatnonzero(left >= size)
-            hashes = blocks.span_hashes_at(body, at, size)
-            likely = vocabulary.maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
-            at, hashes = at[likely], hashes[likely]
+            open_ = open_[left[open_] >= size]
+            hashes = spans(open_, open_ + size)
+            slots = _slots(hashes)
+            likely = vocabulary.maybe[slots]
+            at, hashes = open_[likely], hashes[likely]
+            open_ = open_[vocabulary.begins[slots]]  # elsewhere no piece goes on beyond this size
             row = np.minimum(np.searchsorted(vocabulary.hashes, hashes), len(vocabulary.hashes) - 1)
             hit = vocabulary.hashes[row] == hashes
             origin.append(at[hit])
@@ -121,7 +145,7 @@ class Lattice:
         at, size = np.concatenate(origin), np.concatenate(length).astype(np.int64)
         ids, logs = np.concatenate(piece), np.concatenate(weight)
         # forward: edges in order of their begin within the chunk; those of one begin reach different nodes
-        order = np.argsort(inside[at], kind="stable")
+        order = _stable_order(inside[at])
         at, size, ids, logs = at[order], size[order], ids[order], logs[order]
         begin, end = node[at], node[at] + size
         alpha = np.full(int(self.first[-1]), -np.inf)
@@ -131,7 +155,7 @@ class Lattice:
             to = end[a:b]
             alpha[to] = np.logaddexp(alpha[to], alpha[begin[a:b]] + logs[a:b])
         # backward: the chance of each edge among those that end at its node, summed up within the node
-        order = np.argsort(end, kind="stable")
+        order = _stable_order(end)
         self.begin, end, self.ids, self.at, self.size = begin[order], end[order], ids[order], at[order], size[order]
         with np.errstate(invalid="ignore"):
             chance = np.exp(alpha[self.begin] + logs[order] - alpha[end])

@@ -78,3 +78,29 @@ def test_model_reads_the_ids(spark):
     for row in found:
         assert row.n_ids == len(row.ids)
         assert model.decode(row.ids) == texts[row.doc_id]
+
+
+def test_spans_are_hashed_only_where_a_piece_can_go_on(vocabulary, monkeypatch):
+    hashed, hasher = [], blocks.span_hasher
+
+    def counted(data, seed=0):
+        spans = hasher(data, seed)
+        return lambda starts, ends: hashed.append(len(starts)) or spans(starts, ends)
+
+    monkeypatch.setattr(blocks, "span_hasher", counted)
+    text = np.frombuffer(b" " + b"qzxjkvw" * 400, np.uint8)
+    lattice = pieces.Lattice(text, np.array([0]), np.array([len(text)]), vocabulary)
+    known = {p for p in vocabulary.pieces if p}
+    raw = text.tobytes()
+    want = sorted((i, n) for i in range(len(raw)) for n in range(1, vocabulary.longest + 1) if i + n <= len(raw) and raw[i : i + n] in known)
+    plain = lattice.ids >= 0
+    assert sorted(zip(lattice.at[plain].tolist(), lattice.size[plain].tolist())) == want
+    assert sum(hashed) < 8 * len(text) < vocabulary.longest * len(text)
+
+
+def test_stable_order():
+    rng = np.random.default_rng(1)
+    for most in (1, 9, 1 << 16, 1 << 18):
+        values = rng.integers(0, most, 5000)
+        assert np.array_equal(pieces._stable_order(values), np.argsort(values, kind="stable"))
+    assert len(pieces._stable_order(values[:0])) == 0
