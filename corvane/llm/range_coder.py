@@ -21,6 +21,7 @@ import pyarrow.fs
 LANES, CHECKPOINT = 64, 256
 SEGMENT = LANES * CHECKPOINT
 BLOCK = 4 * SEGMENT
+WAITING = 32  # blocks that are coded side by side: a step costs some calls, however wide it is
 LOW = np.uint64(1 << 31)  # states stay in [2^31, 2^63) and give or take 32 bits at a time
 MAGIC = b"CORVTOK1"
 HEADER = "<8sIIIII"  # magic, file number, scale bits, lanes, checkpoint steps, checksum of the table
@@ -139,7 +140,7 @@ def stream(table: pa.Table) -> bytes:
 
 
 class Writer:
-    """One file; ids and documents are added in order, and at most eight blocks wait in memory."""
+    """One file; ids and documents are added in order, and at most ``WAITING`` blocks wait in memory to be coded together."""
 
     def __init__(self, sink, number: int, table: Table):
         self.sink, self.table = sink, table
@@ -153,10 +154,10 @@ class Writer:
         """Documents by key and number of ids, and all their ids."""
         self.docs.append(pa.table({"key": keys, "n_ids": pa.array(sizes, pa.int64())}))
         self.n_ids += len(ids)
-        for a in range(0, len(ids), 8 * BLOCK):
-            self.waiting.append(ids[a : a + 8 * BLOCK])
+        for a in range(0, len(ids), WAITING * BLOCK):
+            self.waiting.append(ids[a : a + WAITING * BLOCK])
             self.n_waiting += len(self.waiting[-1])
-            if self.n_waiting >= 8 * BLOCK:
+            if self.n_waiting >= WAITING * BLOCK:
                 self._put(self.n_waiting // BLOCK * BLOCK)
 
     def _put(self, n: int) -> None:
@@ -225,8 +226,8 @@ class Reader:
         ends = max(lot[2] + lot[3] for lots_ in lots.values() for lot in lots_)
         out = np.empty(ends - begins, np.uint32)
         for steps, segments in lots.items():
-            for j in range(0, len(segments), 64):
-                some = segments[j : j + 64]
+            for j in range(0, len(segments), 128):
+                some = segments[j : j + 128]
                 got = decode(table, words, np.array([s[0] for s in some]), np.stack([s[1] for s in some]), steps)
                 for row, (_, _, at, size) in zip(got, some):
                     out[at - begins : at - begins + size] = row[:size]

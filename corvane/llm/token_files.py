@@ -30,7 +30,7 @@ from corvane.operators.scans import running_total
 from corvane.session import cut_lineage
 
 TABLE = "table.arrow"
-GROUP = 1 << 19  # ids of the documents that are decoded together
+GROUP = 1 << 20  # ids of the documents that are decoded together
 
 
 # The word split of the tokenizer, over the letters and signs whose normal form and lower case are theirs alone.
@@ -82,7 +82,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.split = Tokenizer.from_file(tokenizer_path), most, split
-        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.model, self.letters = self.tokenizer.model, {**byte_letters(), 10: "\n"}  # no piece holds a line break
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.forget()
 
@@ -91,9 +91,15 @@ class WordIds:
         self.pieces: dict[str, int] = {}
         self.of_words, self.of_pieces, self.held = Lists(), Lists(), 0
 
-    def _merged(self, piece: str) -> list[int]:
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(letters)]
+    def _merged(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of each piece. Those that are not ASCII are spelled in the vocabulary's letters, all at once."""
+        wide = [i for i, p in enumerate(pieces) if not p.isascii()]
+        if wide:
+            spelled = "\n".join([pieces[i] for i in wide]).encode().decode("latin-1").translate(self.letters).split("\n")
+            for i, p in zip(wide, spelled):
+                pieces[i] = p
+        merge = self.model.tokenize
+        return [[t.id for t in merge(p)] for p in pieces]
 
     def _flat(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
@@ -104,8 +110,10 @@ class WordIds:
 
     def _split(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         pieces = PIECES.findall(text.lower())
-        new = [p for p in set(pieces) if p not in self.pieces]
-        self.of_pieces.add(*self._flat([[] if p == " " else self._merged(p) for p in new]))
+        new = set(pieces).difference(self.pieces)
+        spelled = [p for p in new if p != " "]
+        new = [" "] * (len(new) - len(spelled)) + spelled
+        self.of_pieces.add(*self._flat([[]] * (len(new) - len(spelled)) + self._merged([*spelled])))
         self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
         places = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
         ids, before = self.of_pieces.get(places)
@@ -166,7 +174,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: st
         words, nth = remembered(tokenizer_path), 0
         for batch in batches:
             column = batch.column(2).fill_null("")
-            for part in blocks.texts(column, 2 * blocks.BLOCK_BYTES):
+            for part in blocks.texts(column, 4 * blocks.BLOCK_BYTES):
                 ids, sizes = words.encode(column.slice(part.first, len(part)))
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(sizes), end_id)

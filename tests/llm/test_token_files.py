@@ -153,3 +153,25 @@ def test_another_table_is_refused(tmp_path):
         writer.close()
     with pytest.raises(ValueError):
         range_coder.Reader(*range_coder.open_folder(str(tmp_path / "f"))).ids(table_of(ids[:500]), 0, 10)
+
+
+def test_blocks_are_coded_side_by_side(monkeypatch):
+    import io
+
+    widths, plain_encode = [], range_coder._encode
+    monkeypatch.setattr(range_coder, "_encode", lambda table, ids, rows: widths.append(rows) or plain_encode(table, ids, rows))
+    ids = np.random.default_rng(2).integers(0, 50, 32 * range_coder.BLOCK + 7).astype(np.uint16)
+    table = range_coder.Table(*np.unique(ids, return_counts=True))
+    sink = io.BytesIO()
+    writer = range_coder.Writer(sink, 0, table)
+    for part in np.array_split(ids, 100):
+        writer.add(pa.array([1]), np.array([len(part)]), part)
+    writer.close()
+    assert widths == [32, 1] and writer.n_ids == len(ids)
+
+
+def test_pieces_of_all_letters_are_merged_together():
+    words = token_files.WordIds(TOKENIZER)
+    pieces = ["plain", "é", "straße", "x1", "\u0151z", "д", ","]
+    assert words._merged([*pieces]) == [words._merged([p])[0] for p in pieces]
+    assert words._merged([]) == []
