@@ -1,6 +1,7 @@
 """Near duplicates, repeated passages and fuzzy lines against brute force."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -158,3 +159,30 @@ def test_members_from_one_exchange(spark):
     plain = lambda df, bits: sorted((r.band >> bits, r.item, r.size, r.low) for r in df.collect())
     found = plain(linking.sorted_members(items), 0)
     assert found == plain(linking.bucket_members(items), 16) and len(found) > 26_000
+
+
+def test_members_in_lots_of_bands(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), int(i) % 50, [int(b) for b in bs]) for i, bs in zip(rng.integers(0, 900, 2000), rng.integers(0, 300, (2000, 7)) * 8 + np.arange(7) << 16)]
+    items = spark.createDataFrame([*rows, (5000, 1, [])], "item bigint, size bigint, bands array<bigint>").repartition(3)
+    sent = []
+    cut = linking.cut_lineage
+    monkeypatch.setattr(linking, "cut_lineage", lambda df: sent.append(cut(df)) or sent[-1])
+    plain = lambda df: sorted((r.band, r.item, r.size, r.low) for r in df.collect())
+    lots = plain(linking.sorted_members(items, 7, at_once=3))
+    assert len(sent) == 3 and len(lots) > 10_000
+    assert lots == plain(linking.sorted_members(items))
+    assert {b % 8 for b in (r.band for r in sent[0].collect())} == {0, 1, 2}
+
+
+def test_what_is_shuffled_for_a_stored_table_goes(spark):
+    from corvane.session import cut_lineage
+
+    kept = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("shuffle_")
+    before = kept()
+    assert cut_lineage(spark.range(5000).repartition(3, "id")).columns == ["id"]
+    for _ in range(100):
+        if kept() <= before:
+            break
+        time.sleep(0.1)
+    assert kept() <= before
