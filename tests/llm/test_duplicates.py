@@ -186,3 +186,72 @@ def test_what_is_shuffled_for_a_stored_table_goes(spark):
             break
         time.sleep(0.1)
     assert kept() <= before
+
+
+def test_groups_leave_one_table_behind(spark, make, rows):
+    """What is written on the way to the groups, and the bands of the lines, do not stay on the disk."""
+    from pathlib import Path
+
+    from corvane.session import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    tables = lambda: {p.name for p in folder.glob("corvane-*")}
+    before = tables()
+    got = fuzzy_lines(make(rows))
+    read = {name for name in tables() - before if name in "\n".join(got.inputFiles())}
+    assert tables() - before == read and len(read) == 3
+    left = [spark.read.parquet(str(folder / name)).columns for name in read]
+    assert sorted(len(c) for c in left) == [2, 3, 4] and not any("bands" in c for c in left)
+
+
+def test_union_find_keeps_the_last_round_only(spark, monkeypatch):
+    sent = []
+    cut = linking.cut_lineage
+    monkeypatch.setattr(linking, "cut_lineage", lambda df: sent.append(cut(df)) or sent[-1])
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a bigint, b bigint")
+    got = {r.item: r.group for r in linking.union_find(chain).collect()}
+    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+    from pathlib import Path
+
+    there = [Path(df.inputFiles()[0].removeprefix("file:").replace("///", "/")).exists() for df in sent]
+    assert len(there) > 4 and there == [False] * (len(there) - 1) + [True]
+
+
+def test_a_chain_of_small_buckets_is_no_square_of_blocks(spark, monkeypatch):
+    """In a large cloud small buckets give pairs and large ones blocks; links are those of all pairs that share a bucket."""
+    draw = np.random.default_rng(4)
+    texts = {i: " ".join(f"w{w}" for w in draw.integers(0, 9, 9)) for i in range(300)}
+    bands = [(b, i) for b in range(290) for i in range(b, b + 3)] + [(1000, i) for i in range(40)] + [(1001, i) for i in range(30, 80)]
+    bands += [(2000, 500), (2000, 501)]
+    texts |= {500: texts[0], 501: texts[0] + " more"}
+    shingles = lambda part: linking_sets(part)
+    from corvane.llm.near_duplicates import shingle_sets
+
+    linking_sets = lambda part: shingle_sets(part, 1)
+    sets = {i: set(t.split()) for i, t in texts.items()}
+    by = {}
+    for b, i in bands:
+        by.setdefault(b, set()).add(i)
+    pairs = {(x, y) for held in by.values() for x in held for y in held if x < y}
+    alike = {(x, y) for x, y in pairs if 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])}
+    every = {(x, y) for x in texts for y in texts if x < y and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])}
+
+    def groups(links):
+        group = {i: i for i in texts}
+        while any(group[x] != group[y] for x, y in links):
+            for x, y in links:
+                group[x] = group[y] = min(group[x], group[y])
+        return group
+
+    all_linked = groups(every)
+    members = spark.createDataFrame([(b, i, len(sets[i]), min(by[b])) for b, i in bands], "band bigint, item bigint, size bigint, low bigint")
+    table = spark.createDataFrame(list(texts.items()), "item bigint, text string")
+    monkeypatch.setattr(linking, "BLOCK_ITEMS", 8)
+    dealt, paired = [], []
+    clouds, checked = linking.check_clouds, linking.check_pairs
+    monkeypatch.setattr(linking, "check_clouds", lambda c, *rest: dealt.append(c.agg({"blocks": "sum"}).first()[0] or 0) or clouds(c, *rest))
+    monkeypatch.setattr(linking, "check_pairs", lambda p, *rest: paired.append(p.count()) or checked(p, *rest))
+    found = {r.item: r.group for r in linking.link_items(members, lambda wanted: table.join(wanted, "item"), shingles, 75, lambda m: m).collect()}
+    assert len(alike) > 100 and all(found[x] == found[y] for x, y in alike)
+    assert all(all_linked[i] == all_linked[g] for i, g in found.items())
+    assert len(dealt) == 2 and len(paired) == 2 and sum(dealt) <= 2 + 80 * 10 < 300 * 38 and paired[1] <= 3 * 290
