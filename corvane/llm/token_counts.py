@@ -5,8 +5,9 @@ from __future__ import annotations
 import base64
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,20 @@ BUCKET = 64  # pre-tokens under one leaf of the tree when it is built
 TREE = "n_leaves array<int>, leaf_chars array<int>, leaf_tokens array<int>, sum_chars array<int>, sum_tokens array<int>"
 
 
+class _Known(dict):
+    """Token counts that are worked out when they are first asked for; ``most`` of them are remembered."""
+
+    def __init__(self, encoding, most: int):
+        super().__init__()
+        self.encoding, self.most = encoding, most
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        self[piece] = n = len(self.encoding.encode_ordinary(piece))
+        return n
+
+
 class Counter:
     """Token counts of pre-tokens; remembers up to ``most`` of them."""
 
@@ -28,18 +43,10 @@ class Counter:
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines()) if a}
         self.encoding = tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
-        self.pattern, self.known, self.most = regex.compile(PATTERN), {}, most
+        self.pattern, self.known = regex.compile(PATTERN), _Known(self.encoding, most)
 
     def counts(self, pieces: list[str]) -> list[int]:
-        known = self.known
-        new = [p for p in set(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = list(set(pieces))
-            for piece, ids in zip(new, map(self.encoding.encode_ordinary, new)):
-                known[piece] = len(ids)
-        return [known[p] for p in pieces]
+        return list(map(self.known.__getitem__, pieces))
 
 
 class SegmentTree:
@@ -179,7 +186,19 @@ def build_trees(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks:
 
 
 def _arrays(trees: list[tuple]) -> list[pa.Array]:
-    return [pa.array([t[i] for t in trees], pa.list_(pa.int32())) for i in range(5)]
+    return [_list_array([t[i] for t in trees]) for i in range(5)]
+
+
+def _list_array(lists: list[list[int]]) -> pa.Array:
+    ends = np.fromiter(accumulate(map(len, lists), initial=0), np.int32, len(lists) + 1)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(lists), np.int32, int(ends[-1]))))
+
+
+def _lists(column: pa.ListArray) -> list[list[int]]:
+    """The lists of a column without nulls; read in one go, as ``to_pylist`` takes each number by itself."""
+    ends = column.offsets.to_numpy().tolist()
+    values = column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy().tolist()
+    return [values[a - ends[0] : b - ends[0]] for a, b in zip(ends[:-1], ends[1:])]
 
 
 def gather_edits(edits: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -206,7 +225,8 @@ def apply_edits(trees: DataFrame, key: str = "doc_id", ranks: str = RANKS) -> Da
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
                 texts, after, counts = [], [], []
-                for row in zip(*[c.to_pylist() for c in part.columns[1:]]):
+                columns = [part.column(1).to_pylist(), *map(_lists, part.columns[2:7]), part.column(7).to_pylist()]
+                for row in zip(*columns):
                     text, tree = row[0], SegmentTree(*row[1:6])
                     before = (tree.tokens[1], sum(row[1]))
                     encoded = 0

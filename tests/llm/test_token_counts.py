@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from corvane.llm import token_counts as tc
@@ -79,3 +80,17 @@ def test_query_counts(spark, whole):
     assert len(rows) == len(texts)
     assert all(r.tokens_before == len(whole.encode_ordinary(texts[r.doc_id])) for r in rows)
     assert sum(r.encoded_leaves for r in rows) < 0.5 * sum(r.leaves_before for r in rows)
+
+
+def test_lists_of_a_slice_are_read_in_one_go():
+    lists = [[], [1, 2], [3], [], [4, 5, 6], []]
+    column = tc._list_array(lists)
+    assert column.to_pylist() == lists and column.type == pa.list_(pa.int32())
+    assert all(tc._lists(column.slice(i, n)) == lists[i : i + n] for i in range(6) for n in range(1, 7 - i))
+
+
+def test_counts_are_remembered_up_to_a_limit():
+    counter = tc.Counter(open(tc.RANKS, "rb").read(), most=3)
+    pieces = ["a", " tokenization", "b", "a", " zzqqx", "b", " tokenization"]
+    want = [len(counter.encoding.encode_ordinary(p)) for p in pieces]
+    assert counter.counts(pieces) == want and len(counter.known) <= 3
