@@ -7,7 +7,7 @@ sorted to build the index; a term that every chunk holds stands once in every bl
 
 ``text_match`` brings each block together with the questions' terms that occur in it, a tile of questions at a time, and
 adds up all pairs of a tile and a block in memory. Questions of a checked size are sent to the blocks, which stay where they
-are; more questions, or questions that need some blocks only, meet them through a shuffle of index rows and terms, never of
+are; many more questions, or questions that need some blocks only, meet them through a shuffle of index rows and terms, never of
 pairs. Pairs that are no hits leave no row. ``matched_counts`` is for as many questions as there are chunks: the questions of a tile travel to the
 blocks, which stay where they are.
 """
@@ -34,6 +34,7 @@ K1, B = 1.2, 0.75
 PAIRS = 1 << 21  # pairs added up at once
 OWN = -1  # the lot of the rows that describe blocks
 SENT = 1 << 18  # asked terms that are sent to the blocks at once
+LOTS = 8  # lots of so many asked terms, each for one reading of the index
 
 
 @dataclass(frozen=True)
@@ -253,14 +254,19 @@ def text_match(
     the n terms, at least one. With ``topn``, only chunks that can be among a question's best are sure to be returned:
     the ``first_blocks`` blocks of the largest possible score set a mark, and blocks that cannot reach it are not read.
     Without ``skip_blocks`` all blocks are scored and each hands on its own best, which costs less where most blocks
-    can reach the mark. Where all are scored, up to ``SENT`` asked terms are sent to the blocks, which stay where they are.
+    can reach the mark. Where all are scored, about ``SENT`` asked terms at a time, up to ``LOTS`` times, are sent to the
+    blocks, which stay where they are; each lot of questions reads the index once.
     """
     idf = lambda f: F.ln(1 + (store.n[f] - F.col(f"df_{f}") + 0.5) / (F.col(f"df_{f}") + 0.5))
     need = F.greatest(F.lit(1), F.floor(F.col("n_terms") * min_match).cast("bigint"))
     asked = _asked(query_terms, store, need, tile_rows)
     asked = asked.withColumns({f"w_{f}": F.col("weight") * float(boosts[f]) * idf(f) for f in store.fields})
     if topn is None or not skip_blocks:
-        return _scored_in_place(asked, store, topn, tile_rows) if asked.count() <= SENT else _scored(asked, store, None, topn)
+        lots = max(1, -(-asked.count() // SENT))
+        if lots > LOTS:
+            return _scored(asked, store, None, topn)
+        lot = F.pmod(F.xxhash64("query_id", F.lit("lot")), F.lit(lots))
+        return reduce(DataFrame.unionByName, [_scored_in_place(asked.filter(lot == i), store, topn, tile_rows) for i in range(lots)])
     tops = store.postings(*[f"top_{f}" for f in store.fields])
     bounds = (
         asked.join(tops, "term")

@@ -32,6 +32,20 @@ def test_few_questions_move_no_index_rows(spark, monkeypatch):
     assert [rows(None), rows(2)] == sent and len(sent[1]) < len(sent[0])
 
 
+def test_more_questions_are_sent_in_lots(spark, monkeypatch):
+    store, asked = sample(spark)
+    boosts = {"body": 1.0, "title": 3.0}
+    rows = lambda topn: sorted(map(tuple, postings.text_match(asked, store, boosts, 0.3, topn, tile_rows=7, skip_blocks=False).collect()))
+    whole = [rows(None), rows(2)]
+    monkeypatch.setattr(postings, "SENT", 30)
+    sent = []
+    real = postings._scored_in_place
+    monkeypatch.setattr(postings, "_scored_in_place", lambda asked, *rest: sent.append(asked.count()) or real(asked, *rest))
+    assert "CoGroup" not in plan_of(postings.text_match(asked, store, boosts, 0.3))
+    assert len(sent) > 2 and max(sent) < sum(sent)
+    assert [rows(None), rows(2)] == whole and len(whole[0]) > 100
+
+
 def test_best_of_all_blocks_without_marks(spark, monkeypatch):
     store, asked = sample(spark)
     monkeypatch.setattr(postings, "_met", lambda *_: 1 / 0)
