@@ -35,6 +35,7 @@ PAIRS = 1 << 21  # pairs added up at once
 OWN = -1  # the lot of the rows that describe blocks
 SENT = 1 << 18  # asked terms that are sent to the blocks at once
 LOTS = 8  # lots of so many asked terms, each for one reading of the index
+GROUP = {"parquet.block.row.count.limit": "2", "parquet.page.size.row.check.min": "1"}  # blocks that are written, and read, at once
 
 
 @dataclass(frozen=True)
@@ -109,7 +110,7 @@ def build(
     of_chunks = "".join(f", len_{f} array<int>" for f in names) + "".join(f", {c} array<{kinds[c]}>" for c in kept)
     schema = f"block bigint, terms array<string>, ats array<array<int>>, ns array<bigint>, {of_terms}, ids array<{kinds['id']}>{of_chunks}"
     rows = source.mapInArrow(index, schema)
-    rows.write.parquet(folder)
+    rows.write.options(**GROUP).parquet(folder)
     stored = spark.read.schema(rows.schema).parquet(folder)
     occurrences = sum((F.aggregate(f"tf_{f}", F.lit(0).cast("bigint"), lambda s, x: s + x) for f in names), F.lit(0).cast("bigint"))
     stats = cut_lineage(

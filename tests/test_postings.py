@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,13 @@ def test_counted_tokens(spark):
     assert got == {i: dict(Counter(t or [])) for i, t in rows}
     stats = {r.token: (r.df, r.tf) for r in terms.document_frequency(df, "doc_id").collect()}
     assert stats["b"] == (1, 2) and stats["x"] == (1, 1) and stats["0"] == (1, 7143)
+
+
+def test_few_blocks_are_read_at_once(spark, tmp_path):
+    """Spark reads a row group of a file in one go, so the memory of a task that reads the index must not follow its files."""
+    rows = [(i, [f"w{i % 7}", f"w{i % 5}"]) for i in range(90)]
+    chunks = spark.createDataFrame(rows, "chunk_id int, body array<string>").coalesce(1)
+    store = postings.build(chunks, {"body": "body"}, folder=f"{tmp_path}/index", block_rows=10)
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "index").glob("*.parquet")]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) == store.blocks.count() == 9 and max(groups) <= 2
