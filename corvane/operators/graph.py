@@ -66,37 +66,40 @@ def mentions(chunks: DataFrame, key: str = "chunk_id", text: str = "content", pa
     ``occurrences`` counts the name anywhere in the text, without regard to case.
     """
     upper = F.upper(F.col(text))
-    found = chunks.select(
-        key, upper.alias("_upper"), F.posexplode(F.split(text, tx.SENTENCE_END)).alias("sentence", "s")
-    ).select(key, "_upper", "sentence", F.explode(F.regexp_extract_all("s", F.lit(pattern), F.lit(0))).alias("name"))
-    placed = found.groupBy(key, F.upper("name").alias("name")).agg(
-        F.min("sentence").alias("sentence"), F.first("_upper").alias("_upper")
+    named = lambda s, i: F.transform(
+        F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), lambda n: F.struct(F.upper(n).alias("name"), i.alias("sentence"))
     )
+    found = chunks.select(key, upper.alias("_upper"), F.flatten(F.transform(F.split(text, tx.SENTENCE_END), named)).alias("_found"))
+    found = found.select(key, "_upper", F.col("_found.name").alias("_names"), F.col("_found.sentence").alias("_at"))
     gone = F.length(F.replace("_upper", F.col("name"), F.lit("")))
-    return placed.withColumn("occurrences", ((F.length("_upper") - gone) / F.length("name")).cast("bigint")).drop("_upper")
+    counted = found.select("*", F.explode(F.array_distinct("_names")).alias("name")).select(  # a text stays in its row
+        key,
+        "name",
+        F.get("_at", (F.array_position("_names", F.col("name")) - 1).cast("int")).alias("sentence"),
+        ((F.length("_upper") - gone) / F.length("name")).cast("bigint").alias("occurrences"),
+    )
+    return counted.repartition(key).groupBy(key, "name").agg(F.min("sentence").alias("sentence"), F.first("occurrences").alias("occurrences"))
 
 
 def cooccurrence(mention_rows: DataFrame, distance: int = 0, key: str = "chunk_id", fixed_weight: float | None = 1.0) -> DataFrame:
     """Entity pairs of the same or nearby sentences, once per chunk: ``(key, src, dst, weight)``.
 
-    One side is spread over the sentences it reaches and the pairs meet by an equi-join on (chunk, sentence), so only
-    pairs of the result are made. Without a fixed weight a pair weighs the sum of its ends' shares of all
-    occurrences in the chunk, at least 0.01.
+    One side is spread over the sentences it reaches, and the names that meet in a sentence are put together in a row,
+    which gives its pairs. Rows are placed by ``key`` for all of it, as :func:`mentions` places them. Without a fixed
+    weight a pair weighs the sum of its ends' shares of all occurrences in the chunk, at least 0.01.
     """
-    totals = mention_rows.groupBy(key).agg(F.sum("occurrences").alias("_total"))
-    shares = mention_rows.join(totals, key).withColumn(
-        "share", F.when(F.col("_total") > 0, F.col("occurrences") / F.col("_total")).otherwise(0.0)
-    )
-    left = shares.select(key, "sentence", F.col("name").alias("src"), F.col("share").alias("_a"))
-    right = shares.select(
-        key,
-        F.explode(F.sequence(F.col("sentence") - distance, F.col("sentence") + distance)).alias("sentence"),
-        F.col("name").alias("dst"),
-        F.col("share").alias("_b"),
+    total = F.sum("occurrences").over(Window.partitionBy(key))
+    shares = mention_rows.filter(F.col(key).isNotNull()).select(
+        key, "name", "sentence", F.when(total > 0, F.col("occurrences") / total).otherwise(0.0).alias("share")
     )
-    pairs = left.join(right, [key, "sentence"]).filter("src < dst")
-    weight = F.lit(fixed_weight) if fixed_weight is not None else F.greatest(F.col("_a") + F.col("_b"), F.lit(0.01))
-    return pairs.select(key, "src", "dst", weight.alias("weight"))
+    reach = F.sequence(F.lit(-distance), F.lit(distance))
+    met = shares.select(key, "name", "share", "sentence", F.explode(reach).alias("_off")).groupBy(
+        key, (F.col("sentence") + F.col("_off")).alias("_meet")
+    ).agg(F.collect_list(F.struct("name", "share", (F.col("_off") == 0).alias("own"))).alias("_names"))
+    ends = met.filter(F.size("_names") > 1).select(key, "_names", F.explode("_names").alias("_a")).filter("_a.own")
+    pairs = ends.select(key, "_a", F.explode("_names").alias("_b")).filter("_a.name < _b.name")
+    weight = F.lit(fixed_weight) if fixed_weight is not None else F.greatest(F.col("_a.share") + F.col("_b.share"), F.lit(0.01))
+    return pairs.select(key, F.col("_a.name").alias("src"), F.col("_b.name").alias("dst"), weight.alias("weight"))
 
 
 def cooccurrence_edges(pairs: DataFrame) -> DataFrame:
