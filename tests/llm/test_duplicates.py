@@ -255,3 +255,16 @@ def test_a_chain_of_small_buckets_is_no_square_of_blocks(spark, monkeypatch):
     assert len(alike) > 100 and all(found[x] == found[y] for x, y in alike)
     assert all(all_linked[i] == all_linked[g] for i, g in found.items())
     assert len(dealt) == 2 and len(paired) == 2 and sum(dealt) <= 2 + 80 * 10 < 300 * 38 and paired[1] <= 3 * 290
+
+
+def test_two_blocks_compare_each_pair_once():
+    """Two blocks that meet compare their sets across; what a block has within is compared where it meets itself."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 30)).astype(np.uint64)) for _ in range(40)]
+    sets += [np.unique(rng.integers(60, 5000, 30).astype(np.uint64)) for _ in range(40)]
+    sets = [sets[i] for i in rng.permutation(80)]
+    values, bounds = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    exact = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    assert (linking._meet(values, bounds) * (1 - np.eye(80)) == exact * (1 - np.eye(80))).all()
+    across = linking._meet(values, bounds, 33)
+    assert across.shape == (33, 47) and (across == exact[:33, 33:]).all()
